@@ -1,6 +1,107 @@
-"""Registered queries of this subpackage."""
+"""Registered queries of this subpackage and their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabularium.llm.leakage import leaks
+from tabularium.llm.lookalikes import normalise, not_ascii
+from tabularium.llm.mixing import mix, plan, report, token_counts
+from tabularium.llm.repetition import repetition
+from tabularium.llm.splitting import LIMIT, split_oversized
+from tabularium.sources.tables import once_per_key, table
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Texts over the limit, with the coarsest boundary whose stretches all fit."""
+    sections = table(spark, d, "sections").where(F.char_length("text") > LIMIT)
+    once = once_per_key(sections, "row_id", ["section", "text"], "loaded_at")
+    return split_oversized(once, "text", ["row_id", "section"]).where("piece = 0").select("row_id", "boundary")
+
+
+def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Every text as pieces within the limit, each with its row_id and section."""
+    once = once_per_key(table(spark, d, "sections"), "row_id", ["section", "text"], "loaded_at")
+    return split_oversized(once, "text", ["row_id", "section"])
+
+
+def p3_normalised(spark: SparkSession, d: str) -> DataFrame:
+    """section and text of every row_id in one consistent form."""
+    once = once_per_key(table(spark, d, "sections"), "row_id", ["section", "text"], "loaded_at")
+    return normalise(once, "row_id", {"section": True, "text": False})
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Fields whose value held characters that only look like others."""
+    odd = table(spark, d, "sections").where(not_ascii("section", "text"))
+    done = normalise(odd, "row_id", {"section": True, "text": False})
+    fields = F.array(*[F.struct(F.lit(f).alias("field"), (F.size(f"{f}_found") > 0).alias("hit")) for f in ("section", "text")])
+    return done.select("row_id", F.inline(fields)).where("hit").select("row_id", "field").distinct()
+
+
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+
+
+def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
+    """Leaked items by document, verbatim or covered by reordered passages."""
+    return _leaks(spark, d)
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).where("verbatim").select("item_id", "doc_id")
+
+
+def _counts(spark: SparkSession, d: str) -> DataFrame:
+    return token_counts(table(spark, d, "documents"), "doc_id", "source", "text")
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The mix: which document stands where, in which repetition."""
+    return mix(_counts(spark, d), table(spark, d, "mix_targets"))[0].withColumnRenamed("doc", "doc_id")
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of every source of the mix."""
+    return report(*mix(_counts(spark, d), table(spark, d, "mix_targets")))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Sources that cannot reach their share."""
+    return plan(_counts(spark, d), table(spark, d, "mix_targets")).where("NOT reaches").select("source")
+
+
+def p9_repetition(spark: SparkSession, d: str) -> DataFrame:
+    """Share of repeated content and log-likelihood ratio of every document."""
+    return repetition(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with at least three tenths of their words in repeated passages."""
+    return p9_repetition(spark, d).where("n_words > 0 AND repeated_words * 10 >= n_words * 3").select("doc_id")
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_pieces": p1_pieces,
+    "p3_found": p3_found,
+    "p3_normalised": p3_normalised,
+    "p7_found": p7_found,
+    "p7_leaks": p7_leaks,
+    "p8_found": p8_found,
+    "p8_mix": p8_mix,
+    "p8_report": p8_report,
+    "p9_found": p9_found,
+    "p9_repetition": p9_repetition,
+}
+
+ORACLE = {
+    "p1_found": r"""
+SELECT DISTINCT row_id,
+  CASE WHEN list_max(list_transform(regexp_split_to_array(text, '\r?\n(?:[ \t]*\r?\n)+'), lambda x: length(x))) <= 3000 THEN 'paragraph'
+       WHEN list_max(list_transform(regexp_split_to_array(text, '[\r\n]+'), lambda x: length(x))) <= 3000 THEN 'line'
+       WHEN list_max(list_transform(string_split(regexp_replace(regexp_replace(text, '([.;:?])\s+', '\1' || chr(1), 'g'), '[\r\n]+', chr(1), 'g'), chr(1)), lambda x: length(x))) <= 3000 THEN 'sentence'
+       ELSE 'none' END AS boundary
+FROM sections WHERE length(text) > 3000""",
+}
