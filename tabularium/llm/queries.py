@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabularium.llm.leakage import leaks
 from tabularium.llm.lookalikes import normalise, not_ascii
 from tabularium.llm.mixing import mix, plan, report, token_counts
+from tabularium.llm.personal import find_personal, redact_personal
 from tabularium.llm.repetition import repetition
 from tabularium.llm.splitting import LIMIT, split_oversized
 from tabularium.sources.tables import once_per_key, table
@@ -26,6 +27,17 @@ def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split_oversized(once, "text", ["row_id", "section"])
 
 
+def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Every text with typed placeholders in the place of personal information."""
+    once = once_per_key(table(spark, d, "sections"), "row_id", ["text"], "loaded_at")
+    return redact_personal(once, "row_id", "text")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Each distinct item per row_id, as written."""
+    return find_personal(table(spark, d, "sections"), "row_id", "text").select("row_id", "kind", "value").distinct()
+
+
 def p3_normalised(spark: SparkSession, d: str) -> DataFrame:
     """section and text of every row_id in one consistent form."""
     once = once_per_key(table(spark, d, "sections"), "row_id", ["section", "text"], "loaded_at")
@@ -85,6 +97,8 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
+    "p2_found": p2_found,
+    "p2_redacted": p2_redacted,
     "p3_found": p3_found,
     "p3_normalised": p3_normalised,
     "p7_found": p7_found,
