@@ -87,7 +87,7 @@ NOT_NAMES = frozenset(
     email fax mobile objections signed write quote send inquiries enquiries service services locality registration registrations agent agents
     address name names rate matter amount item answer question receipt reference folio file list dear note notes example
     transitional provisions provision scheme refund forms approved reporting entities entity administration consolidated exemptions machinery
-    imposition validation indexation factors thresholds renewals terminations suspensions rebate adjustment number figure
+    contributions imposition validation indexation factors thresholds renewals terminations suspensions rebate adjustment number figure
     mr mrs ms miss dr prof sir dame hon
     """.split()
 )
@@ -103,6 +103,7 @@ _NOT_PERSON_AFTER = re.compile(
     rf"{_SP}+(?:Holdings|Pty|Ltd|Limited|Trust|Society|Act|Acts|Regulations?|Instrument|Notice|Rules|Determination|Order|Street|St|Road|Rd|Avenue|Ave|Lane|Court|"
     rf"Crescent|Cres|Parade|Terrace|Tce|Highway|Hwy|Way|Basin|Terminal|Scheme|Tax|Levy|Excise|Customs|Tariff|\()(?=\W)"
 )
+_CAPITAL = re.compile(rf"[A-Z][a-z]+{_SP}$")
 _THE = re.compile(rf"(?i)\b(?:the|an?|any|each|such|that|its|another|of|at|held at|stored at|measured at){_SP}+$")
 _NOT_ID = re.compile(rf"(?i)(?:receipts?|folio(?:{_SP}+is)?|(?<!tax.)file(?:{_SP}+is)?|reference|ref\.?|invoice|business|abn|acn|account|docket|case)(?:{_SP}+(?:is|no\.?|number))?{_SP}*[:#]?{_SP}*$")
 _IS_AGENT = re.compile(rf"(?i)(?:regist\w*|agent|reg\.?)(?:{_SP}+(?:no\.?|number|num\.?|agent|as|is))*{_SP}*[:#]?{_SP}*$")
@@ -153,6 +154,8 @@ def _names(text: str) -> list[tuple[int, int, str, float]]:
             score += 0.3
         if re.search(rf"(?:\band|,){_SP}+$", before) or re.match(rf"{_SP}+and{_SP}", after):
             score += 0.15
+        if _CAPITAL.search(before) and not _TITLE.search(before):
+            score -= 0.3  # the rest of a longer capitalised phrase
         if _THE.search(before) and not _BEFORE.search(before):
             score -= 0.6
         if _NOT_PERSON_AFTER.match(after):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabularium.llm.leakage import leaks
 from tabularium.llm.lookalikes import normalise, not_ascii
 from tabularium.llm.mixing import mix, plan, report, token_counts
+from tabularium.llm.neardup import classes, expand, similar
 from tabularium.llm.personal import find_personal, redact_personal
 from tabularium.llm.repetition import repetition
 from tabularium.llm.splitting import LIMIT, split_oversized
@@ -52,6 +53,20 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return done.select("row_id", F.inline(fields)).where("hit").select("row_id", "field").distinct()
 
 
+def _similar(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return similar(table(spark, d, "sections"), "row_id", "text", shingle=3, threshold=(3, 5), least_words=40)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every pair of row_ids whose texts are nearly the same."""
+    return expand(*_similar(spark, d), "row_id")
+
+
+def p4_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The class of every row_id and its number of links to other classes of equal texts."""
+    return classes(*_similar(spark, d), "row_id")
+
+
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
     return leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
 
@@ -101,6 +116,8 @@ QUERIES = {
     "p2_redacted": p2_redacted,
     "p3_found": p3_found,
     "p3_normalised": p3_normalised,
+    "p4_found": p4_found,
+    "p4_groups": p4_groups,
     "p7_found": p7_found,
     "p7_leaks": p7_leaks,
     "p8_found": p8_found,
