@@ -8,9 +8,10 @@ into each segment, and two similar sets agree on at least m - H of them.
 Signatures get a cost (how often their shingles occur in the corpus) that
 both sets see alike; ordered by it, the H + l cheapest of one set and of the
 other have at least l in common, so costly and empty segments are left out.
-The segments form g groups, and l = g + 1 makes sure that some group holds
-two of the common signatures: within a group, pairs of signatures are
-indexed, which hardly ever meet by chance. Candidates are verified exactly.
+The segments form g groups, and l = g + k makes sure that the groups hold at
+least k common signatures beyond the first of each: within a group, subsets
+of two signatures are indexed, which hardly ever meet by chance, and a pair
+with fewer than k common subsets is dropped. What is left is verified exactly.
 
 One-deletion neighbourhoods, which would let a segment differ by one shingle
 at a higher cost, are never allocated here: at the thresholds this operator
@@ -37,9 +38,11 @@ FIRST_BAND = 16  # shingles; smaller sets share the first band
 BAND_RATIO = 5 / 3
 SEGMENTS = 3.0  # segments per shingle of the largest set of a band
 GROUPS = 20
+SUBSETS = 3  # k: common subsets of two signatures that a similar pair has at least
 SKETCH = 1 << 20
 CANDIDATE_BITS = 1 << 20
-CHUNK = 2 << 20
+CHUNK = 1 << 20
+CHUNK_ROWS = 1 << 11  # a text's number in a chunk takes 11 bits, a rank 5
 
 _TOKEN_BITS = 44
 _SIG_BITS = 34
@@ -89,16 +92,20 @@ def groups_of(context: np.ndarray) -> np.ndarray:
 
 
 def signatures(token: np.ndarray, doc: np.ndarray, sketch: np.ndarray, num: int, den: int):
-    """(text, group key, signature) of the cheapest signatures of every set, in both contexts it takes part in.
+    """(text, group key, signature, rank) of the cheapest signatures of every set, in both contexts it takes part in.
+
+    rank is the signature's place in the order of cost, in 32nds of the set's size, rounded down.
 
     A context is the band of the smaller set of a pair: a set meets its own
     band and larger ones in its own context, smaller ones in the band below.
     """
     if not len(token):
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
     begin = _starts(doc)
     sizes = np.diff(np.append(begin, len(doc)))
     size = np.repeat(sizes, sizes)
+    sizes_at = np.zeros(int(doc[-1]) + 1, np.int64)
+    sizes_at[doc[begin]] = sizes
     seen = np.maximum(sketch[(token % np.uint64(len(sketch))).astype(np.int64)], 1)
     total = max(float(sketch.sum()), 2.0)
     rarity = np.log(total / seen)  # the rarer, the greater
@@ -125,7 +132,7 @@ def signatures(token: np.ndarray, doc: np.ndarray, sketch: np.ndarray, num: int,
         d, c, seg = d[first], c[first], seg[first]
         sig = mix(content + mix((seg * 4096 + c).astype(np.uint64))) >> np.uint64(64 - _SIG_BITS)
         scaled = ((1 << _COST_BITS) - 1 - np.minimum(cost * 256, (1 << _COST_BITS) - 1)).astype(np.uint64)
-        # d is below 2**14 by the size of a chunk
+        # d is below CHUNK_ROWS
         order = (d.astype(np.uint64) << np.uint64(_COST_BITS + _SIG_BITS)) | (scaled << np.uint64(_SIG_BITS)) | sig
         by = np.argsort(order)
         d, c, seg, sig = d[by], c[by], seg[by], sig[by]
@@ -133,17 +140,18 @@ def signatures(token: np.ndarray, doc: np.ndarray, sketch: np.ndarray, num: int,
         have = np.diff(np.append(begin, len(d)))
         groups = groups_of(c[begin])
         bound = most[use][first][by][begin]
-        need = bound + groups + 1
+        need = bound + groups + SUBSETS
         rank = np.arange(len(d)) - np.repeat(begin, have)
         keep = rank < np.repeat(need, have)
-        out.append((d[keep], c[keep] * 64 + seg[keep] % np.repeat(groups, have)[keep], sig[keep]))
+        step = np.minimum(rank * 32 // sizes_at[d], 31)
+        out.append((d[keep], c[keep] * 64 + seg[keep] % np.repeat(groups, have)[keep], sig[keep], step[keep]))
         for k in np.flatnonzero(have < need):  # few: sets that must also use empty segments
             b = begin[k]
             count = int(np.ceil(SEGMENTS * _edges(c[b : b + 1] + 1)[0]))
             empty = np.setdiff1d(np.arange(count), seg[b : b + have[k]])
             h = mix(mix((empty * 4096 + c[b]).astype(np.uint64))) >> np.uint64(64 - _SIG_BITS)
             pick = np.argsort(h, kind="stable")[: int(need[k] - have[k])]
-            out.append((np.full(len(pick), d[b]), c[b] * 64 + empty[pick] % groups[k], h[pick]))
+            out.append((np.full(len(pick), d[b]), c[b] * 64 + empty[pick] % groups[k], h[pick], np.full(len(pick), min(int(have[k]) * 32 // int(sizes_at[d[b]]), 31))))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -170,28 +178,36 @@ def _runs(x: np.ndarray, shift: int) -> np.ndarray:
     return np.repeat(n, n)
 
 
-def candidates(ids: np.ndarray, sig: np.ndarray, slice_rows: int = 4_000_000):
-    """Pairs of ids that share two signatures of a group; yields arrays (a, b), a < b, slice by slice.
+def candidates(ids: np.ndarray, size: np.ndarray, sig: np.ndarray, rank: np.ndarray, context: int, num: int, den: int, slice_rows: int = 4_000_000):
+    """Pairs of ids that share two signatures of a group; yields arrays (a, b, common subsets) slice by slice.
 
-    Signature hashes and dense numbers of the ids are packed into one word and
-    sorted as such. Hash bits given up to the numbers cost only candidates.
+    A pair counts only if its sizes allow the threshold and both signatures
+    are among the cheapest that the bound of these very sizes asks for.
+    Signature hashes, dense numbers of the ids and ranks are packed into one
+    word and sorted as such; hash bits given up to the numbers cost only
+    candidates.
     """
-    names, own = np.unique(ids, return_inverse=True)
+    names, at, own = np.unique(ids, return_index=True, return_inverse=True)
     if len(names) < 2:
         return
+    size = size[at].astype(np.int64)
+    extra = int(groups_of(np.array([context]))[0]) + SUBSETS
     low = np.uint64(int(len(names) - 1).bit_length())
-    high = np.uint64(64) - low
-    mask = (np.uint64(1) << low) - np.uint64(1)
+    five = np.uint64(5)
+    tail = low + five
+    high = np.uint64(64) - tail
+    own_mask, rank_mask = (np.uint64(1) << low) - np.uint64(1), np.uint64(31)
     own = own.astype(np.uint64)
-    key = mix(sig) >> low
+    key = mix(sig) >> tail
+    rank = rank.astype(np.uint64)
     for _ in range(2):  # what meets nothing, and what meets only once, drops out
-        by_key = _distinct((key << low) | own)
-        by_key = by_key[_runs(by_key, int(low)) > 1]
-        key, own = by_key >> low, by_key & mask
-        by_own = (own << high) | key
+        by_key = _distinct((key << tail) | (own << five) | rank)
+        by_key = by_key[_runs(by_key, int(tail)) > 1]
+        key, own, rank = by_key >> tail, (by_key >> five) & own_mask, by_key & rank_mask
+        by_own = (own << (high + five)) | (key << five) | rank
         by_own.sort()
-        by_own = by_own[_runs(by_own, int(high)) > 1]
-        key, own = by_own & ((np.uint64(1) << high) - np.uint64(1)), by_own >> high
+        by_own = by_own[_runs(by_own, int(high + five)) > 1]
+        key, own, rank = (by_own >> five) & ((np.uint64(1) << high) - np.uint64(1)), by_own >> (high + five), by_own & rank_mask
     if not len(own):
         return
     begin = _starts(own)
@@ -208,29 +224,72 @@ def candidates(ids: np.ndarray, sig: np.ndarray, slice_rows: int = 4_000_000):
             k = mix(key[lo:hi][a] * np.uint64(3) + key[lo:hi][b])
             if passes > 1:
                 mine = k % np.uint64(passes) == r
-                a, k = a[mine], k[mine]
-            subsets.append(((k >> low) << low) | own[lo:hi][a])
+                a, b, k = a[mine], b[mine], k[mine]
+            subsets.append(((k >> tail) << tail) | (own[lo:hi][a] << five) | np.maximum(rank[lo:hi][a], rank[lo:hi][b]))
         both = np.concatenate(subsets)
         both.sort()
-        both = both[_runs(both, int(low)) > 1]
-        for a, b in _emit(both >> low, both & mask, slice_rows):
-            yield names[a], names[b]
-
-
-def _emit(k: np.ndarray, i: np.ndarray, slice_rows: int):
-    """Pairs of numbers that share a subset, the lower first, in slices of bounded size."""
-    if not len(k):
-        return
-    begin = _starts(k)
-    size = np.diff(np.append(begin, len(k)))
-    made = np.cumsum(size * (size - 1) // 2)
-    cuts = np.unique(np.searchsorted(made, np.arange(0, made[-1], slice_rows), side="right"))
-    for x, y in zip(cuts, [*cuts[1:], len(size)]):
-        lo, hi = begin[x], begin[y] if y < len(size) else len(k)
-        a, b = _pairs_within(k[lo:hi])
-        pairs = _distinct((i[lo:hi][a] << np.uint64(32)) | i[lo:hi][b])  # numbers ascend within a run
-        p, q = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        yield p[p != q], q[p != q]
+        both = both[_runs(both, int(tail)) > 1]
+        if not len(both):
+            continue
+        run = both >> tail
+        number = ((both >> five) & own_mask).astype(np.int64)
+        least = (both & rank_mask).astype(np.int64) * size[number] // 32
+        begin_run = _starts(run)
+        of = np.diff(np.append(begin_run, len(run)))
+        pairs = np.cumsum(of * (of - 1) // 2)
+        cuts = np.unique(np.searchsorted(pairs, np.arange(0, pairs[-1], slice_rows), side="right"))
+        for x, y in zip(cuts, [*cuts[1:], len(of)]):
+            lo, hi = begin_run[x], begin_run[y] if y < len(of) else len(run)
+            i, j = _pairs_within(run[lo:hi])
+            p, q = number[lo:hi][i], number[lo:hi][j]  # numbers ascend within a run
+            np_, nq = size[p], size[q]
+            need = _difference(np_, nq, num, den) + extra
+            good = (p != q) & (np.minimum(np_, nq) * den >= np.maximum(np_, nq) * num) & (np.maximum(least[lo:hi][i], least[lo:hi][j]) < need)
+            found = (p[good].astype(np.uint64) << np.uint64(32)) | q[good].astype(np.uint64)
+            found.sort()
+            first = _starts(found)
+            often = np.diff(np.append(first, len(found)))
+            found = found[first]
+            yield names[(found >> np.uint64(32)).astype(np.int64)], names[(found & np.uint64(0xFFFFFFFF)).astype(np.int64)], often
+
+
+def _packed(doc: np.ndarray, group: np.ndarray, sig: np.ndarray, rank: np.ndarray, partitions: int):
+    """Per partition: the texts concerned, and of every group the sorted signatures and who has them.
+
+    Sorted hashes are kept as differences of three bytes where all of them fit.
+    """
+    word = (group.astype(np.uint64) << np.uint64(48)) | ((sig & np.uint64(0xFFFFFFFF)) << np.uint64(16)) | (rank.astype(np.uint64) << np.uint64(11)) | doc.astype(np.uint64)
+    word.sort()
+    group = (word >> np.uint64(48)).astype(np.int64)
+    edges = np.append(_starts(group), len(group))
+    names = group[edges[:-1]]
+    to = (names // 64 * 7 + names % 64) % partitions
+    for p in np.unique(to):
+        mine = np.flatnonzero(to == p)
+        parts = [word[edges[k] : edges[k + 1]] for k in mine]
+        low = [(x & np.uint64(0x7FF)).astype(np.int64) for x in parts]
+        who = np.unique(np.concatenate(low))
+        renumber = np.zeros(CHUNK_ROWS, np.uint16)
+        renumber[who] = np.arange(len(who))
+        sigs, whos = [], []
+        for x, d in zip(parts, low):
+            h = ((x >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            step = np.diff(h, prepend=np.uint32(0))
+            small = step.max() < 1 << 24
+            sigs.append((step.astype(np.uint16).tobytes() + (step >> np.uint32(16)).astype(np.uint8).tobytes()) if small else h.tobytes())
+            whos.append((renumber[d] | (((x >> np.uint64(11)) & np.uint64(31)) << np.uint64(11)).astype(np.uint16)).tobytes())
+        yield int(p), who, names[mine], [len(x) for x in parts], sigs, whos
+
+
+def _unpacked(ids: np.ndarray, sizes: np.ndarray, count: int, sig: bytes, who: bytes):
+    """(ids, sizes, signatures, ranks) of one group of _packed."""
+    if len(sig) == 4 * count:
+        h = np.frombuffer(sig, np.uint32)
+    else:
+        h = np.cumsum(np.frombuffer(sig, np.uint16, count).astype(np.uint32) + (np.frombuffer(sig, np.uint8, count, 2 * count).astype(np.uint32) << np.uint32(16)), dtype=np.uint32)
+    w = np.frombuffer(who, np.uint16)
+    d = (w & np.uint16(0x7FF)).astype(np.int64)
+    return ids[d], sizes[d], h.astype(np.uint64), (w >> np.uint16(11)).astype(np.uint64)
 
 
 def similar(
@@ -252,71 +311,75 @@ def similar(
     def tally(batches):
         seen = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            for part in chunks(batch, "text", CHUNK):
+            for part in chunks(batch, "text", CHUNK, CHUNK_ROWS):
                 token, _ = _sets(part.column(1), shingle, least_words)
                 seen += np.bincount((token % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
         return seen
 
     sketch = spark.sparkContext.broadcast(summed(src, tally, SKETCH).astype(np.float32))
 
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     def route(batches):
         for batch in batches:
-            for part in chunks(batch, "text", CHUNK):
+            for part in chunks(batch, "text", CHUNK, CHUNK_ROWS):
                 token, doc = _sets(part.column(1), shingle, least_words)
                 if not len(token):
                     continue
                 begin = _starts(doc)
                 own = doc[begin]
-                set_id = mix(np.add.reduceat(mix(token), begin))
+                set_id = mix(np.add.reduceat(mix(token), begin)).view(np.int64)
+                size = np.diff(np.append(begin, len(doc))).astype(np.int32)
                 number = np.full(part.num_rows, -1)
                 number[own] = np.arange(len(own))
-                d, group, sig = signatures(token, number[doc], sketch.value, num, den)
-                o = np.argsort(group, kind="stable")
-                d, group, sig = d[o], group[o], sig[o]
-                edges = np.append(_starts(group), len(group))
-                n = len(edges) - 1
+                packed = _packed(*signatures(token, number[doc], sketch.value, num, den), n)
                 keys = part.column(0).take(pa.array(own))
-                ids = pa.array(set_id.view(np.int64))
-                low = sig.astype(np.uint32)
-                who = d.astype(np.uint16)
+                rows = [(to, set_id[who], size[who], groups, lengths, sigs, whos) for to, who, groups, lengths, sigs, whos in packed]
+                to, ids, sizes, groups, lengths, sigs, whos = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([*group[edges[:-1]].tolist(), -1], pa.int32()),
-                        pa.array([set_id.tobytes()] * n + [None], pa.binary()),
-                        pa.array([*(low[a:b].tobytes() for a, b in zip(edges, edges[1:])), None], pa.binary()),
-                        pa.array([*(who[a:b].tobytes() for a, b in zip(edges, edges[1:])), None], pa.binary()),
-                        pa.array([[]] * n + [keys.to_pylist()], pa.list_(keys.type)),
-                        pa.array([[]] * n + [ids.to_pylist()], pa.list_(pa.int64())),
+                        pa.array([*to, int(set_id[0]) % n], pa.int32()),
+                        pa.array([*ids, set_id], pa.list_(pa.int64())),
+                        pa.array([*sizes, []], pa.list_(pa.int32())),
+                        pa.array([*groups, []], pa.list_(pa.int32())),
+                        pa.array([*lengths, []], pa.list_(pa.int32())),
+                        pa.array([*sigs, []], pa.list_(pa.binary())),
+                        pa.array([*whos, []], pa.list_(pa.binary())),
+                        pa.array([*([[]] * len(rows)), keys.to_pylist()], pa.list_(keys.type)),
                     ],
-                    names=["grp", "ids", "sigs", "who", "keys", "sets"],
+                    names=["p", "ids", "sizes", "groups", "lengths", "sigs", "whos", "keys"],
                 )
 
-    packed = src.mapInArrow(route, f"grp int, ids binary, sigs binary, who binary, keys array<{kind}>, sets array<bigint>")
+    packed = src.mapInArrow(
+        route, f"p int, ids array<bigint>, sizes array<int>, groups array<int>, lengths array<int>, sigs array<binary>, whos array<binary>, keys array<{kind}>"
+    )
 
     def meet(batches):
         held: dict[int, list] = {}
+        key_type = None
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            for grp, ids, sigs, who, keys, sets in zip(*(c.to_pylist() for c in table.columns)):
-                if grp < 0:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys, table.schema.field("keys").type.value_type), pa.array(sets, pa.int64()), pa.nulls(len(keys), pa.int64())], names=["key", "a", "b"]
-                    )
+            key_type = batch.schema.field("keys").type.value_type
+            for row in batch.to_pylist():
+                ids = np.array(row["ids"], np.int64)
+                if not row["groups"]:
+                    m = len(ids)
+                    yield pa.RecordBatch.from_arrays([pa.array(row["keys"], key_type), pa.array(ids), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())], names=["key", "a", "b", "often"])
                     continue
-                i = np.frombuffer(ids, np.uint64)[np.frombuffer(who, np.uint16)]
-                held.setdefault(grp, []).append((i, np.frombuffer(sigs, np.uint32)))
-        none = table.schema.field("keys").type.value_type if held else None
-        for grp in list(held):
-            parts = held.pop(grp)
-            i = np.concatenate([x[0] for x in parts])
-            s = np.concatenate([x[1] for x in parts]).astype(np.uint64)
-            for a, b in candidates(i, s):
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(a), none), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["key", "a", "b"])
+                ids, sizes = ids.view(np.uint64), np.array(row["sizes"], np.int32)
+                for g, count, sig, who in zip(row["groups"], row["lengths"], row["sigs"], row["whos"]):
+                    held.setdefault(g, []).append((ids, sizes, count, sig, who))
+        for g in list(held):
+            parts = [_unpacked(*x) for x in held.pop(g)]
+            ids, sizes, sig, rank = (np.concatenate(x) for x in zip(*parts))
+            for a, b, often in candidates(ids, sizes, sig, rank, g // 64, num, den):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(a), key_type), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(often, pa.int64())], names=["key", "a", "b", "often"]
+                )
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = materialise(packed.repartition(n, "grp").mapInArrow(meet, f"key {kind}, a bigint, b bigint"))
+    met = materialise(packed.repartitionById(n, "p").mapInArrow(meet, f"key {kind}, a bigint, b bigint, often bigint"))
     members = met.where("b IS NULL").select("key", F.col("a").alias("set_id")).distinct()
-    pairs = met.where("b IS NOT NULL").select("a", "b").distinct()
+    meetings = met.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "often")
+    pairs = meetings.groupBy("a", "b").agg(F.sum("often").alias("often")).where(F.col("often") >= SUBSETS).select("a", "b")
     links = materialise(_verified(src, members, pairs, shingle, least_words, num, den))
     return members.withColumnRenamed("key", key), links
 

@@ -105,8 +105,8 @@ def words(texts: pa.Array | pa.ChunkedArray) -> Words:
     return Words(h, doc, first)
 
 
-def chunks(batch: pa.RecordBatch, column: str, budget: int = 1 << 19):
-    """Slices of a batch whose text is about `budget` bytes, a longer single text alone.
+def chunks(batch: pa.RecordBatch, column: str, budget: int = 1 << 19, rows: int = 1 << 16):
+    """Slices of a batch of at most `rows` rows whose text is about `budget` bytes, a longer single text alone.
 
     Bounds a worker's memory whatever the texts' lengths; whole texts only.
     """
@@ -114,7 +114,7 @@ def chunks(batch: pa.RecordBatch, column: str, budget: int = 1 << 19):
     lengths = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
     start, size = 0, 0
     for i, k in enumerate(lengths):
-        if size and size + k > budget:
+        if i > start and (size + k > budget or i - start == rows):
             yield batch.slice(start, i - start)
             start, size = i, 0
         size += int(k)
