@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 _TOKEN = r"[A-Z][A-Za-z'\x{2019}-]{1,20}"
 NAME = rf"(?U)\b{_TOKEN},?\s+{_TOKEN}(?:\s+{_TOKEN})?\b"
 REGISTRATION = r"(?U)\b\d{8}\b"
-EMAIL = r"(?U)\b[\w.+-]+@[\w-]+(?:\.[\w-]+)+\b"
+EMAIL = r"(?U)\b[\w.+-]++@[\w-]+(?:\.[\w-]+)+\b"
 PHONE = (
     r"(?U)(?<!\d)(?:\(0\d\)[\s-]?\d{4}[\s-]?\d{4}|0[2-8][\s-]?\d{4}[\s-]?\d{4}|04\d{2}[\s-]?\d{3}[\s-]?\d{3}"
     r"|\+61[\s-]?(?:\(0\)[\s-]?)?\d(?:[\s-]?\d){8}|\+61[\s-]?\(0?\d\)[\s-]?\d(?:[\s-]?\d){7}"
@@ -77,7 +77,8 @@ def contact_values(c: Column) -> Column:
     """
     masked = F.regexp_replace(c, TFN_LABELLED, "\u0001")
     item = lambda kind, v: F.struct(F.lit(kind).alias("kind"), v.alias("value"))
-    email = F.transform(_all(c, EMAIL), lambda x: item("email", F.lower(F.trim(x))))
+    # without an at sign there is nothing to scan for, and no long run of dots to try at every word
+    email = F.transform(F.when(c.contains("@"), _all(c, EMAIL)).when(c.isNotNull(), F.array().cast("array<string>")), lambda x: item("email", F.lower(F.trim(x))))
     phone = F.transform(_all(c, PHONE), lambda x: item("phone", phone_value(x)))
     labelled = F.transform(_all(c, TFN_LABELLED, 1), lambda x: item("tfn", digits(x)))
     bare = F.filter(F.transform(_all(masked, TFN_BARE, 1), lambda x: item("tfn", digits(x))), lambda s: plausible_tfn(s["value"]))
