@@ -11,6 +11,7 @@ import glob
 import json
 import os
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
 
 from tabularium import schemas
@@ -56,7 +57,7 @@ class PagedReader(DataSourceReader):
 
 
 class PagedTitles(DataSource):
-    """spark.read.format("paged_titles").load(root): `<root>/<collection>/<keyword>/<page>.json`.
+    """Through read_paged(spark, root): `<root>/<collection>/<keyword>/<page>.json`.
 
     A malformed page, a missing last page or an id that occurs twice in one
     scan fails the read; a short page ends a scan.
@@ -71,3 +72,10 @@ class PagedTitles(DataSource):
 
     def reader(self, schema):
         return PagedReader(self.options["path"], [f.name for f in schema.fields])
+
+
+def read_paged(spark: SparkSession, root: str) -> DataFrame:
+    """The stored scans as a table; filters on the collection choose the partitions."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(PagedTitles)
+    return spark.read.format("paged_titles").load(root)
