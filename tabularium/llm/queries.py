@@ -127,6 +127,19 @@ QUERIES = {
     "p9_repetition": p9_repetition,
 }
 
+_ONCE = "once AS (SELECT * FROM sections WHERE row_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY loaded_at DESC NULLS LAST) = 1)"
+_WORDS = "regexp_extract_all(lower(text), '[a-z0-9]+')"
+_LOOKS = (
+    r"[\x{FF01}-\x{FF5E}\x{FFE0}-\x{FFE6}\p{M}\x{00AD}\x{180E}\x{200B}-\x{200F}\x{2060}-\x{2064}\x{FEFF}"
+    r"\x{00A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}\x{2011}\x{FB00}-\x{FB06}\x{1D400}-\x{1D7FF}]"
+)
+_MIXED = r"\p{Latin}[\p{L}\p{M}\p{N}]*[\p{Greek}\p{Cyrillic}]|[\p{Greek}\p{Cyrillic}][\p{L}\p{M}\p{N}]*\p{Latin}"
+
+
+def _grams(n: int) -> str:
+    return f"list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i + {n} - 1], ' '))"
+
+
 ORACLE = {
     "p1_found": r"""
 SELECT DISTINCT row_id,
@@ -135,4 +148,26 @@ SELECT DISTINCT row_id,
        WHEN list_max(list_transform(string_split(regexp_replace(regexp_replace(text, '([.;:?])\s+', '\1' || chr(1), 'g'), '[\r\n]+', chr(1), 'g'), chr(1)), lambda x: length(x))) <= 3000 THEN 'sentence'
        ELSE 'none' END AS boundary
 FROM sections WHERE length(text) > 3000""",
+    "p3_found": f"""
+SELECT DISTINCT row_id, 'section' AS field FROM sections WHERE regexp_matches(section, '{_LOOKS}') OR regexp_matches(section, '[\\p{{Greek}}\\p{{Cyrillic}}]')
+UNION ALL
+SELECT DISTINCT row_id, 'text' FROM sections WHERE regexp_matches(text, '{_LOOKS}') OR regexp_matches(text, '{_MIXED}')""",
+    "p4_found": f"""
+WITH {_ONCE}, wd AS (SELECT row_id, {_WORDS} AS w FROM once),
+sh AS (SELECT row_id, list_distinct({_grams(3)}) AS s FROM wd WHERE len(w) >= 40),
+t AS (SELECT row_id, len(s) AS n, unnest(s) AS g FROM sh),
+c AS (SELECT a.row_id AS x, b.row_id AS y, a.n AS nx, b.n AS ny, count(*) AS k FROM t a JOIN t b ON a.g = b.g AND a.row_id < b.row_id GROUP BY ALL)
+SELECT x AS row_id_a, y AS row_id_b FROM c WHERE k * 5 >= (nx + ny - k) * 3""",
+    "p7_found": f"""
+WITH iw AS (SELECT item_id, {_WORDS} AS w FROM eval_items), dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+ig AS (SELECT item_id, least(15, len(w)) AS n, unnest(list_transform(range(1, len(w) - least(15, len(w)) + 2), lambda i: array_to_string(w[i:i + least(15, len(w)) - 1], ' '))) AS g FROM iw WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM ig),
+dg AS (SELECT DISTINCT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS g FROM dw, sizes WHERE len(w) >= n)
+SELECT DISTINCT item_id, doc_id FROM dg JOIN ig USING (n, g)""",
+    "p9_found": f"""
+WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+g AS (SELECT doc_id, len(w) AS words, unnest(range(1, len(w) - 6)) AS i, unnest({_grams(8)}) AS g FROM dw WHERE len(w) >= 8),
+again AS (SELECT doc_id, words, i FROM g QUALIFY row_number() OVER (PARTITION BY doc_id, g ORDER BY i) > 1),
+covered AS (SELECT doc_id, words, count(DISTINCT i + k) AS n FROM again, range(8) r(k) GROUP BY 1, 2)
+SELECT doc_id FROM covered WHERE n * 10 >= words * 3""",
 }
