@@ -70,19 +70,33 @@ def lines(c: Column) -> Column:
     return F.split(c, "\n")
 
 
+def _all_if(c: Column, sign: str, pattern: str) -> Column:
+    """Matches of a pattern that needs a sign; a text without it is not scanned. Null stays null."""
+    return F.when(~c.contains(sign), F.array().cast("array<string>")).otherwise(_all(c, pattern))
+
+
 def money_values(c: Column) -> Column:
     """Dollar amounts as written, in order."""
-    return _all(c, MONEY)
+    return _all_if(c, "$", MONEY)
+
+
+def has_money(c: Column) -> Column:
+    return c.contains("$") & c.rlike(MONEY)
+
+
+def has_percentage(c: Column) -> Column:
+    """Whether percentage_values is not empty: a digit before a per cent sign always ends a token."""
+    return c.contains("%") & c.rlike(r"(?U)\d\s?%")
 
 
 def percentage_values(c: Column) -> Column:
     """Percentages as written: the longest decimal token that a per cent sign follows."""
-    return F.filter(_all(c, PERCENT_TOKEN), lambda x: x.endswith("%"))
+    return F.filter(_all_if(c, "%", PERCENT_TOKEN), lambda x: x.endswith("%"))
 
 
 def factor_values(c: Column) -> Column:
     """Bare factors: one digit, a point, two to four digits."""
-    return _all(c, FACTOR)
+    return _all_if(c, ".", FACTOR)
 
 
 def has(c: Column, pattern: str) -> Column:

@@ -19,21 +19,20 @@ def number_records(sections: DataFrame) -> DataFrame:
     number are dropped before their text is split. A null text has none.
     """
     t = F.col("text")
-    operative = (F.size(X.money_values(t)) > 0) | (F.size(X.percentage_values(t)) > 0) | (t.rlike(X.FACTOR) & X.has(t, X.RATE_PHRASE))
+    operative = X.has_money(t) | X.has_percentage(t) | (t.rlike(X.FACTOR) & X.has(t, X.RATE_PHRASE))
     rows = sections.where(operative).select(*_BASE, "row_id", "text", X.topic_for(F.col("act"), F.col("heading"), t).alias("topic"))
     base = [*_BASE, "row_id", "topic"]
 
     tables = rows.select(*base, F.posexplode(X.table_blocks(F.col("text"))).alias("pos", "content"))
     joined = F.replace(F.col("content"), F.lit("\n"), F.lit(" "))
     tables = tables.where(
-        (F.size(X.lines(F.col("content"))) >= 3) & ((F.size(X.money_values(joined)) > 0) | (F.size(X.percentage_values(joined)) > 0))
+        (F.size(X.lines(F.col("content"))) >= 3) & (X.has_money(joined) | X.has_percentage(joined))
     ).select(*base, F.lit(0).alias("part"), "pos", F.lit("table").alias("kind"), F.lit(None).cast("array<string>").alias("amounts"), X.years(joined).alias("years"), "content")
 
     s = F.col("content")
-    said = rows.select(*base, F.posexplode(X.sentences(F.col("text"))).alias("pos", "content")).select(
-        "*", X.money_values(s).alias("_m"), X.percentage_values(s).alias("_p"), F.when(X.has(s, X.RATE_PHRASE), X.factor_values(s)).otherwise(F.array().cast("array<string>")).alias("_f")
-    )
-    money, percent, factor = (F.size(c) > 0 for c in ("_m", "_p", "_f"))
+    said = rows.select(*base, F.posexplode(X.sentences(F.col("text"))).alias("pos", "content"))
+    money, percent = X.has_money(s), X.has_percentage(s)
+    factor = s.rlike(X.FACTOR) & X.has(s, X.RATE_PHRASE)
     phrase = X.has(s, X.RATE_PHRASE) | X.has(s, X.THRESHOLD_PHRASE) | X.has(s, X.INDEX_PHRASE)
     kind = (
         F.when(X.has(s, X.INDEX_PHRASE), "indexation")
@@ -42,8 +41,9 @@ def number_records(sections: DataFrame) -> DataFrame:
         .when(factor & ~money, "factor")
         .otherwise("threshold")
     )
+    factors = F.when(factor, X.factor_values(s)).otherwise(F.array().cast("array<string>"))
     said = said.where((money | percent | factor) & (percent | phrase)).select(
-        *base, F.lit(1).alias("part"), "pos", kind.alias("kind"), F.array_sort(F.array_union(F.array_union("_m", "_p"), F.col("_f"))).alias("amounts"), X.years(s).alias("years"), "content"
+        *base, F.lit(1).alias("part"), "pos", kind.alias("kind"), F.array_sort(F.array_union(F.array_union(X.money_values(s), X.percentage_values(s)), factors)).alias("amounts"), X.years(s).alias("years"), "content"
     )
     return tables.unionByName(said).select("*", X.fold(s).alias("content_ascii"), X.fold(F.col("heading")).alias("heading_ascii"))
 

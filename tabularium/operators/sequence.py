@@ -76,7 +76,8 @@ def number_globally(df: DataFrame, order: list[str], name: str, start: int = 1)
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
+    # written first: choosing the ranges samples its input, which would otherwise be computed twice
+    placed = materialise(df).repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
     kept = materialise(placed.withColumn("_p", F.shiftright("_m", 33).cast("int")).withColumn("_k", F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))).drop("_m"))
     counts = sorted((r["_p"], r["c"]) for r in kept.groupBy("_p").agg(F.count("*").alias("c")).collect())
     offsets, total = [], start

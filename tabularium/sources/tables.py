@@ -11,6 +11,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many partitions as there are cores.
+
+    For work that costs far more than moving its rows, on inputs of a few
+    files; an input of many splits is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def once_per_key(df: DataFrame, key: str, payload: list[str], latest: str | None = None) -> DataFrame:
     """One row per key of rows that were delivered again.
 
