@@ -12,7 +12,7 @@ from tabularium.llm.neardup import classes, expand, similar
 from tabularium.llm.personal import find_personal, redact_personal
 from tabularium.llm.repetition import repetition
 from tabularium.llm.splitting import LIMIT, split_oversized
-from tabularium.sources.tables import once_per_key, table
+from tabularium.sources.tables import once_per_key, spread, table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -36,7 +36,7 @@ def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Each distinct item per row_id, as written."""
-    return find_personal(table(spark, d, "sections"), "row_id", "text").select("row_id", "kind", "value").distinct()
+    return find_personal(spread(table(spark, d, "sections").select("row_id", "text")), "row_id", "text").select("row_id", "kind", "value").distinct()
 
 
 def p3_normalised(spark: SparkSession, d: str) -> DataFrame:
@@ -54,7 +54,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _similar(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return similar(table(spark, d, "sections"), "row_id", "text", shingle=3, threshold=(3, 5), least_words=40)
+    return similar(spread(table(spark, d, "sections").select("row_id", "text")), "row_id", "text", shingle=3, threshold=(3, 5), least_words=40)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -68,7 +68,7 @@ def p4_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
-    return leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+    return leaks(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
 
 
 def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
@@ -81,7 +81,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _counts(spark: SparkSession, d: str) -> DataFrame:
-    return token_counts(table(spark, d, "documents"), "doc_id", "source", "text")
+    return token_counts(spread(table(spark, d, "documents").select("doc_id", "source", "text")), "doc_id", "source", "text")
 
 
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -101,7 +101,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_repetition(spark: SparkSession, d: str) -> DataFrame:
     """Share of repeated content and log-likelihood ratio of every document."""
-    return repetition(table(spark, d, "documents"), "doc_id", "text")
+    return repetition(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
