@@ -164,7 +164,11 @@ def mix(counts: DataFrame, targets: DataFrame, block: int = BLOCK, seed: int = 0
 
 
 def report(mixed: DataFrame, plans: DataFrame) -> DataFrame:
-    """(source, target_share, max_repeats, tokens, mixed_tokens, actual_share, reaches); actual_share is of the mix."""
+    """(source, target_share, max_repeats, tokens, mixed_tokens, actual_share, share_of_total, reaches).
+
+    actual_share is of the mix; share_of_total is of the token count of all
+    documents, which is what target_share refers to.
+    """
     got = mixed.groupBy("source").agg(F.sum("n_tokens").alias("mixed_tokens"))
     both = plans.join(got, "source", "left").withColumn("mixed_tokens", F.coalesce("mixed_tokens", F.lit(0)))
     total = F.sum("mixed_tokens").over(Window.partitionBy(F.lit(0)))
@@ -175,5 +179,6 @@ def report(mixed: DataFrame, plans: DataFrame) -> DataFrame:
         "tokens",
         "mixed_tokens",
         F.when(total > 0, F.col("mixed_tokens") / total).otherwise(0.0).alias("actual_share"),
+        F.when(F.col("total") > 0, F.col("mixed_tokens") / F.col("total")).otherwise(0.0).alias("share_of_total"),
         "reaches",
     )
