@@ -198,8 +198,9 @@ def candidates(ids: np.ndarray, size: np.ndarray, sig: np.ndarray, rank: np.ndar
     high = np.uint64(64) - tail
     own_mask, rank_mask = (np.uint64(1) << low) - np.uint64(1), np.uint64(31)
     own = own.astype(np.uint64)
-    key = mix(sig) >> tail
+    key = mix(sig.astype(np.uint64)) >> tail
     rank = rank.astype(np.uint64)
+    del ids, sig, at  # nothing else holds them, and they are the largest arrays here
     for _ in range(2):  # what meets nothing, and what meets only once, drops out
         by_key = _distinct((key << tail) | (own << five) | rank)
         by_key = by_key[_runs(by_key, int(tail)) > 1]
@@ -282,14 +283,27 @@ def _packed(doc: np.ndarray, group: np.ndarray, sig: np.ndarray, rank: np.ndarra
 
 
 def _unpacked(ids: np.ndarray, sizes: np.ndarray, count: int, sig: bytes, who: bytes):
-    """(ids, sizes, signatures, ranks) of one group of _packed."""
+    """(ids, sizes, signatures, ranks) of one group of one chunk, undoing _packed."""
     if len(sig) == 4 * count:
         h = np.frombuffer(sig, np.uint32)
     else:
         h = np.cumsum(np.frombuffer(sig, np.uint16, count).astype(np.uint32) + (np.frombuffer(sig, np.uint8, count, 2 * count).astype(np.uint32) << np.uint32(16)), dtype=np.uint32)
     w = np.frombuffer(who, np.uint16)
     d = (w & np.uint16(0x7FF)).astype(np.int64)
-    return ids[d], sizes[d], h.astype(np.uint64), (w >> np.uint16(11)).astype(np.uint64)
+    return ids[d], sizes[d], h, (w >> np.uint16(11)).astype(np.uint8)
+
+
+def _gathered(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All chunks of one group in arrays of 17 bytes an entry; the packed chunks are let go one by one."""
+    total = sum(x[2] for x in parts)
+    out = (np.empty(total, np.uint64), np.empty(total, np.int32), np.empty(total, np.uint32), np.empty(total, np.uint8))
+    at = total
+    while parts:
+        one = _unpacked(*parts.pop())
+        at -= len(one[0])
+        for whole, part in zip(out, one):
+            whole[at : at + len(part)] = part
+    return out
 
 
 def similar(
@@ -369,9 +383,7 @@ def similar(
                 for g, count, sig, who in zip(row["groups"], row["lengths"], row["sigs"], row["whos"]):
                     held.setdefault(g, []).append((ids, sizes, count, sig, who))
         for g in list(held):
-            parts = [_unpacked(*x) for x in held.pop(g)]
-            ids, sizes, sig, rank = (np.concatenate(x) for x in zip(*parts))
-            for a, b, often in candidates(ids, sizes, sig, rank, g // 64, num, den):
+            for a, b, often in candidates(*_gathered(held.pop(g)), g // 64, num, den):
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(len(a), key_type), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(often, pa.int64())], names=["key", "a", "b", "often"]
                 )
