@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -33,7 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
         set_already = sc._jsc.sc().getCheckpointDir()
         if set_already.isDefined():
             return set_already.get()
-        named = tempfile.mkdtemp(prefix="tabularium-")
+        named = tempfile.mkdtemp(prefix="tabularium-")  # a single machine: no cluster names a folder
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", named)
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(named)
