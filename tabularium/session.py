@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -28,14 +29,20 @@ def get_session(app: str = "tabularium", cores: int | None = None) -> SparkSessi
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder named in spark.checkpoint.dir.
+
+    Where it is unset a local session gets a temporary one; a cluster must
+    name a folder that all its machines share.
+    """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         set_already = sc._jsc.sc().getCheckpointDir()
         if set_already.isDefined():
             return set_already.get()
-        named = tempfile.mkdtemp(prefix="tabularium-")  # a single machine: no cluster names a folder
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
+        named = tempfile.mkdtemp(prefix="tabularium-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", named)
     if not sc._jsc.sc().getCheckpointDir().isDefined():
@@ -47,9 +54,21 @@ def materialise(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """Cut lineage: write to the shared folder as a table and read it back.
 
     A written table survives the loss of any executor, is columnar, and gives
-    the planner true sizes for what follows.
+    the planner true sizes for what follows. discard() deletes it.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"table-{uuid.uuid4().hex}")
+    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that materialise() wrote, once nothing reads it any more."""
+    path = getattr(table, "_written_to", None)
+    if path:
+        spark = table.sparkSession
+        jvm = spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
