@@ -1,24 +1,29 @@
 """Near-duplicate texts: every pair above a Jaccard threshold, and their groups.
 
 Method: universe-partition pigeonhole. A text is the set of its shingles.
-Jaccard above t bounds the symmetric difference of two sets by H, a number
-that follows from their sizes. Per size band the universe of shingles is
-hashed into m segments; a set's signatures are the subsets of it that fall
-into each segment, and two similar sets agree on at least m - H of them.
-Signatures get a cost (how often their shingles occur in the corpus) that
-both sets see alike; ordered by it, the H + l cheapest of one set and of the
-other have at least l in common, so costly and empty segments are left out.
-The segments form g groups, and l = g + k makes sure that the groups hold at
-least k common signatures beyond the first of each: within a group, subsets
-of two signatures are indexed, which hardly ever meet by chance, and a pair
-with fewer than k common subsets is dropped. What is left is verified exactly.
-
-One-deletion neighbourhoods, which would let a segment differ by one shingle
-at a higher cost, are never allocated here: at the thresholds this operator
-is used for a segment holds one or two shingles, and a neighbourhood would
-contain the empty set.
-
-Copies have equal sets and are one representative up to the end.
+Texts are put into bands by size; per band the universe of shingles is hashed
+into segments. Jaccard above t bounds how many shingles of a text its partner
+can lack, and their symmetric difference; both follow from the sizes. Per band
+one of two indexes is allocated, whichever costs less by an estimate from
+statistics over all documents (entries to ship plus meetings to look at):
+
+* subsets: of every text the cheapest shingles (rarest in the corpus, by an
+  order all texts share) are taken, as many as make sure that two similar
+  texts have g + k of them in common, g being the band's segments; by
+  pigeonhole they then share k two-shingle subsets within segments. Those
+  subsets are the index.
+* neighbourhoods: the band has so many segments that two similar texts differ
+  by at most one shingle in k of them; the index holds every segment's whole
+  content and its one-deletion neighbourhood, and a meeting needs at least one
+  whole content.
+
+Index entries are exchanged by their hash, so a task sees an even share of
+them whatever a group's or a key's size. Pairs that meet k times are verified
+exactly on their full shingle sets.
+
+A pair of texts meets in the band of the larger one: a text enters its own
+band, and the next band if it can have partners there. Copies have equal sets
+and are one class up to the end.
 """
 
 from __future__ import annotations
@@ -28,25 +33,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.vectors import summed
+from tabularium.llm.vectors import bitmap, summed
 from tabularium.llm.words import chunks, mix, words
-from tabularium.session import materialise
+from tabularium.session import discard, materialise
 
 SHINGLE = 5
 THRESHOLD = (4, 5)
-FIRST_BAND = 16  # shingles; smaller sets share the first band
-BAND_RATIO = 5 / 3
-SEGMENTS = 3.0  # segments per shingle of the largest set of a band
-GROUPS = 20
-SUBSETS = 3  # k: common subsets of two signatures that a similar pair has at least
+LEAST_THRESHOLD = 1 / 4  # below it a small text's share of segments could be empty
+MEETINGS = 2  # k: common index entries that a similar pair has at least
+FIRST_BAND = 16  # shingles; smaller sets share the first band, whose index is single shingles
+BAND_RATIO = 2.78
+SEGMENTS = 0.35  # segments per shingle of the smallest set of a band, in the index of subsets
+MEETING_COST = 1.0  # of a meeting, in entries
+BANDS = 32
 SKETCH = 1 << 20
-CANDIDATE_BITS = 1 << 20
-CHUNK = 1 << 20
-CHUNK_ROWS = 1 << 11  # a text's number in a chunk takes 11 bits, a rank 5
+CHUNK = 1 << 22
+CHUNK_ROWS = 1 << 12
 
 _TOKEN_BITS = 44
-_SIG_BITS = 34
-_COST_BITS = 16
+_SIG_BITS = 28  # of an entry's hash beyond what chose its partition
+_TAG_BITS = 35  # of the text's class; equal tags are told apart later, by the classes that have them
+_EDGES = np.array([1] + [int(np.ceil(FIRST_BAND * BAND_RATIO**j)) for j in range(BANDS - 1)], np.int64)
 
 
 def _sets(texts: pa.Array, shingle: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,89 +76,135 @@ def _starts(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(fresh)
 
 
-def _edges(k: np.ndarray) -> np.ndarray:
-    """Lower edge of size band k."""
-    return np.where(k <= 0, 0, np.ceil(FIRST_BAND * BAND_RATIO ** k.astype(float) - 1e-9)).astype(np.int64)
-
-
 def _band(size: np.ndarray) -> np.ndarray:
-    k = np.maximum(0, np.floor(np.log(np.maximum(size, 1) / FIRST_BAND) / np.log(BAND_RATIO)).astype(np.int64))
-    k += size >= _edges(k + 1)
-    return k - (size < _edges(k))
+    return np.maximum(np.searchsorted(_EDGES, size, side="right") - 1, 0)
 
 
-def _difference(n: np.ndarray, other: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The largest symmetric difference of similar sets of n and of at most `other` elements."""
-    overlap = -((-num * (n + other)) // (num + den))
-    return n + other - 2 * overlap + 1  # one more, as rounding makes the bound uneven in `other`
+def _overlap(n: np.ndarray, other: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The fewest common elements of similar sets of n and `other` elements."""
+    return -((-num * (n + other)) // (num + den))
 
 
-def groups_of(context: np.ndarray) -> np.ndarray:
-    """How many groups the segments of a context form: small sets cannot spare many signatures."""
-    return np.clip(_edges(context + 1) // 12, 1, GROUPS)
+def _segments(band: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Segments of a band in the index of subsets: few enough that the smallest similar sets still share g + k elements."""
+    low = _EDGES[band]
+    return np.clip((SEGMENTS * low).astype(np.int64), 1, np.maximum(low * num // den - MEETINGS, 1))
 
 
-def signatures(token: np.ndarray, doc: np.ndarray, sketch: np.ndarray, num: int, den: int):
-    """(text, group key, signature, rank) of the cheapest signatures of every set, in both contexts it takes part in.
+def _whole_segments(band: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Segments of a band in the index of neighbourhoods: k of them differ by at most one element."""
+    most = 2 * (_EDGES[np.minimum(band + 1, BANDS - 1)] - 1) * (den - num) // (den + num)
+    return most // 2 + MEETINGS
 
-    rank is the signature's place in the order of cost, in 32nds of the set's size, rounded down.
 
-    A context is the band of the smaller set of a pair: a set meets its own
-    band and larger ones in its own context, smaller ones in the band below.
+def allocation(sketch: np.ndarray, sizes: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Per band whether neighbourhoods are allocated (else subsets), by the cheaper estimate.
+
+    `sketch` counts all texts' shingles by hash, `sizes` the texts of each
+    band. A text costs its entries plus the texts it is expected to meet, if
+    shingles occurred independently of each other at their sketch's rates.
     """
+    texts = max(float(sizes.sum()), 1.0)
+    cells = np.sort(sketch[sketch > 0].astype(float))
+    out = np.zeros(BANDS, bool)
+    if not len(cells):
+        return out
+    mass = np.cumsum(cells) / cells.sum()
+    for b in np.flatnonzero(sizes[1:]) + 1:
+        n = int(np.sqrt(float(_EDGES[b]) * float(_EDGES[min(b + 1, BANDS - 1)])))
+        g = int(_segments(np.array([b]), num, den)[0])
+        prefix = min(n, n - int(_overlap(n, -(-n * num // den), num, den)) + g + MEETINGS)
+        # the frequency of each of the text's shingles, rarest first
+        often = np.minimum(cells[np.minimum(np.searchsorted(mass, (np.arange(n) + 0.5) / n), len(cells) - 1)], texts)
+        subsets = prefix**2 / (2 * g) + MEETING_COST * often[:prefix].sum() ** 2 / (2 * g * texts)
+        m = int(_whole_segments(np.array([b]), num, den)[0])
+        per, rate = n / m, float((often / texts).mean())
+        # contents by size (Poisson): j shingles agree at rate^j, all empty ones agree
+        j = np.arange(0, int(4 * per) + 8)
+        p = np.exp(-per + j * np.log(per) - np.cumsum(np.log(np.maximum(j, 1))))
+        whole = m + n + MEETING_COST * texts * m * float((p * (rate**j + j * rate ** np.maximum(j - 1, 0)) * np.where(j == 0, np.exp(-per), 1.0)).sum())
+        out[b] = whole < subsets
+    return out
+
+
+def _subset_entries(token: np.ndarray, doc: np.ndarray, rank: np.ndarray, need: np.ndarray, band: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of the two-shingle subsets within segments of every text's `need` cheapest shingles."""
+    use = rank < need[doc]
+    t, d = token[use], doc[use]
+    c = band[d]
+    h = mix(t + np.uint64(7))
+    seg = ((h >> np.uint64(40)) % g[d].astype(np.uint64)).astype(np.int64)
+    # h is a bijection of the shingle: texts order a segment's shingles alike
+    by = np.lexsort((h, d * (1 << 16) + seg))
+    d, h, c, seg = d[by], h[by], c[by], seg[by]
+    a, b = _pairs_within(d * (1 << 16) + seg)
+    return d[a], mix(mix(h[a] * np.uint64(3) + h[b]) + (c[a] * (1 << 16) + seg[a]).astype(np.uint64))
+
+
+def _single_entries(token: np.ndarray, doc: np.ndarray, rank: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first band: single shingles, entered k times over, so that one in common is enough."""
+    use = rank < need[doc]
+    t, d = token[use], doc[use]
+    return np.tile(d, MEETINGS), np.concatenate([mix(mix(t + np.uint64(11)) + np.uint64(k)) for k in range(MEETINGS)])
+
+
+def _whole_entries(token: np.ndarray, doc: np.ndarray, use: np.ndarray, band: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, whole) of every segment's content and one-deletion neighbourhood, empty segments included."""
+    of = use[doc]
+    t, d = token[of], doc[of]
+    m = _whole_segments(band, num, den)
+    h = mix(t + np.uint64(7))
+    seg = ((h >> np.uint64(32)) % m[d].astype(np.uint64)).astype(np.int64)
+    # every text has all its band's segments, so that two empty ones meet
+    texts = np.flatnonzero(use)
+    count = m[texts]
+    first = np.zeros(len(use), np.int64)
+    first[texts] = np.cumsum(count) - count
+    content = np.zeros(int(count.sum()), np.uint64)
+    at = first[d] + seg
+    np.add.at(content, at, h)
+    owner = np.repeat(texts, count)
+    salt = mix(((np.arange(len(content)) - first[owner]) * BANDS + band[owner]).astype(np.uint64))
+    return (
+        np.concatenate([owner, d]),
+        np.concatenate([mix(content + salt), mix(content[at] - h + salt[at])]),
+        np.concatenate([np.ones(len(owner), bool), np.zeros(len(d), bool)]),
+    )
+
+
+def entries(token: np.ndarray, doc: np.ndarray, sketch: np.ndarray, whole: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, whole content) of all index entries of a chunk's sets; texts are numbered from 0 without gaps."""
     if not len(token):
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool)
     begin = _starts(doc)
-    sizes = np.diff(np.append(begin, len(doc)))
-    size = np.repeat(sizes, sizes)
-    sizes_at = np.zeros(int(doc[-1]) + 1, np.int64)
-    sizes_at[doc[begin]] = sizes
-    seen = np.maximum(sketch[(token % np.uint64(len(sketch))).astype(np.int64)], 1)
-    total = max(float(sketch.sum()), 2.0)
-    rarity = np.log(total / seen)  # the rarer, the greater
+    n = np.diff(np.append(begin, len(doc)))
+    # the order of cost that all texts share: rare first, ties by hash
+    seen = np.minimum(sketch[(token % np.uint64(len(sketch))).astype(np.int64)], (1 << 32) - 1).astype(np.uint64)
+    by = np.lexsort((token, (doc.astype(np.uint64) << np.uint64(32)) | seen))
+    token = token[by]
+    rank = np.arange(len(token)) - np.repeat(begin, n)
+    own = _band(n)
     out = []
-    for role in (0, 1):
-        context = _band(size) - role
-        upper = _edges(context + 1)
-        if role == 0:
-            most = _difference(size, size * den // num, num, den)
-            use = np.ones(len(token), bool)
+    for band, partner in ((own, -(-n * num // den)), (own + 1, None)):
+        if partner is None:
+            partner = _EDGES[np.minimum(band, BANDS - 1)]
+            use = (partner * num <= n * den) & (band < BANDS)
+            band = np.minimum(band, BANDS - 1)
         else:
-            most = _difference(size, np.minimum(upper - 1, size), num, den)
-            use = (context >= 0) & ((upper - 1) * den >= size * num)
-        if not use.any():
-            continue
-        t, d, c = token[use], doc[use], context[use]
-        m = np.ceil(SEGMENTS * upper[use]).astype(np.uint64)
-        # tokens are sorted within a text, so segments by value ranges come out sorted too
-        salted = t >> np.uint64(_TOKEN_BITS - 32)
-        seg = ((salted * m) >> np.uint64(32)).astype(np.int64)
-        first = _starts(d * (1 << 32) + seg)
-        content = np.add.reduceat(mix(t + np.uint64(1)), first)
-        cost = np.add.reduceat(rarity[use], first)
-        d, c, seg = d[first], c[first], seg[first]
-        sig = mix(content + mix((seg * 4096 + c).astype(np.uint64))) >> np.uint64(64 - _SIG_BITS)
-        scaled = ((1 << _COST_BITS) - 1 - np.minimum(cost * 256, (1 << _COST_BITS) - 1)).astype(np.uint64)
-        # d is below CHUNK_ROWS
-        order = (d.astype(np.uint64) << np.uint64(_COST_BITS + _SIG_BITS)) | (scaled << np.uint64(_SIG_BITS)) | sig
-        by = np.argsort(order)
-        d, c, seg, sig = d[by], c[by], seg[by], sig[by]
-        begin = _starts(d)
-        have = np.diff(np.append(begin, len(d)))
-        groups = groups_of(c[begin])
-        bound = most[use][first][by][begin]
-        need = bound + groups + SUBSETS
-        rank = np.arange(len(d)) - np.repeat(begin, have)
-        keep = rank < np.repeat(need, have)
-        step = np.minimum(rank * 32 // sizes_at[d], 31)
-        out.append((d[keep], c[keep] * 64 + seg[keep] % np.repeat(groups, have)[keep], sig[keep], step[keep]))
-        for k in np.flatnonzero(have < need):  # few: sets that must also use empty segments
-            b = begin[k]
-            count = int(np.ceil(SEGMENTS * _edges(c[b : b + 1] + 1)[0]))
-            empty = np.setdiff1d(np.arange(count), seg[b : b + have[k]])
-            h = mix(mix((empty * 4096 + c[b]).astype(np.uint64))) >> np.uint64(64 - _SIG_BITS)
-            pick = np.argsort(h, kind="stable")[: int(need[k] - have[k])]
-            out.append((np.full(len(pick), d[b]), c[b] * 64 + empty[pick] % groups[k], h[pick], np.full(len(pick), min(int(have[k]) * 32 // int(sizes_at[d[b]]), 31))))
+            use = np.ones(len(n), bool)
+        lacking = n - _overlap(n, partner, num, den)
+        first = use & (band == 0)
+        if first.any():
+            d, h = _single_entries(token, doc, rank, np.where(first, lacking + 1, 0))
+            out.append((d, h, np.ones(len(d), bool)))
+        some = use & (band > 0) & ~whole[band]
+        if some.any():
+            g = _segments(band, num, den)
+            d, h = _subset_entries(token, doc, rank, np.where(some, lacking + g + MEETINGS, 0), band, g)
+            out.append((d, h, np.ones(len(d), bool)))
+        some = use & (band > 0) & whole[band]
+        if some.any():
+            out.append(_whole_entries(token, doc, some, band, num, den))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -165,149 +218,80 @@ def _pairs_within(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a, a + 1 + k
 
 
-def _distinct(x: np.ndarray) -> np.ndarray:
-    """The distinct values, sorted; x is overwritten."""
-    x.sort()
-    return x[_starts(x)]
-
-
-def _runs(x: np.ndarray, shift: int) -> np.ndarray:
-    """Length of the run of equal high bits that every element of a sorted array lies in."""
-    begin = _starts(x >> np.uint64(shift))
-    n = np.diff(np.append(begin, len(x)))
-    return np.repeat(n, n)
-
-
-def candidates(ids: np.ndarray, size: np.ndarray, sig: np.ndarray, rank: np.ndarray, context: int, num: int, den: int, slice_rows: int = 4_000_000):
-    """Pairs of ids that share two signatures of a group; yields arrays (a, b, common subsets) slice by slice.
-
-    A pair counts only if its sizes allow the threshold and both signatures
-    are among the cheapest that the bound of these very sizes asks for.
-    Signature hashes, dense numbers of the ids and ranks are packed into one
-    word and sorted as such; hash bits given up to the numbers cost only
-    candidates.
-    """
-    names, at, own = np.unique(ids, return_index=True, return_inverse=True)
-    if len(names) < 2:
-        return
-    size = size[at].astype(np.int64)
-    extra = int(groups_of(np.array([context]))[0]) + SUBSETS
-    low = np.uint64(int(len(names) - 1).bit_length())
-    five = np.uint64(5)
-    tail = low + five
-    high = np.uint64(64) - tail
-    own_mask, rank_mask = (np.uint64(1) << low) - np.uint64(1), np.uint64(31)
-    own = own.astype(np.uint64)
-    key = mix(sig.astype(np.uint64)) >> tail
-    rank = rank.astype(np.uint64)
-    del ids, sig, at  # nothing else holds them, and they are the largest arrays here
-    for _ in range(2):  # what meets nothing, and what meets only once, drops out
-        by_key = _distinct((key << tail) | (own << five) | rank)
-        by_key = by_key[_runs(by_key, int(tail)) > 1]
-        key, own, rank = by_key >> tail, (by_key >> five) & own_mask, by_key & rank_mask
-        by_own = (own << (high + five)) | (key << five) | rank
-        by_own.sort()
-        by_own = by_own[_runs(by_own, int(high + five)) > 1]
-        key, own, rank = (by_own >> five) & ((np.uint64(1) << high) - np.uint64(1)), by_own >> (high + five), by_own & rank_mask
-    if not len(own):
-        return
-    begin = _starts(own)
-    n = np.diff(np.append(begin, len(own)))
-    made = np.cumsum(n * (n - 1) // 2)
-    passes = int(made[-1] // slice_rows) + 1
-    # the subsets are enumerated in `passes` ranges of their hash: memory is bounded, every subset is seen
-    blocks = np.unique(np.searchsorted(made, np.arange(0, made[-1], slice_rows), side="right"))
-    for r in range(passes):
-        subsets = []
-        for x, y in zip(blocks, [*blocks[1:], len(n)]):
-            lo, hi = begin[x], begin[y] if y < len(n) else len(own)
-            a, b = _pairs_within(own[lo:hi])
-            k = mix(key[lo:hi][a] * np.uint64(3) + key[lo:hi][b])
-            if passes > 1:
-                mine = k % np.uint64(passes) == r
-                a, b, k = a[mine], b[mine], k[mine]
-            subsets.append(((k >> tail) << tail) | (own[lo:hi][a] << five) | np.maximum(rank[lo:hi][a], rank[lo:hi][b]))
-        both = np.concatenate(subsets)
-        both.sort()
-        both = both[_runs(both, int(tail)) > 1]
-        if not len(both):
-            continue
-        run = both >> tail
-        number = ((both >> five) & own_mask).astype(np.int64)
-        least = (both & rank_mask).astype(np.int64) * size[number] // 32
-        begin_run = _starts(run)
-        of = np.diff(np.append(begin_run, len(run)))
-        pairs = np.cumsum(of * (of - 1) // 2)
-        cuts = np.unique(np.searchsorted(pairs, np.arange(0, pairs[-1], slice_rows), side="right"))
-        for x, y in zip(cuts, [*cuts[1:], len(of)]):
-            lo, hi = begin_run[x], begin_run[y] if y < len(of) else len(run)
-            i, j = _pairs_within(run[lo:hi])
-            p, q = number[lo:hi][i], number[lo:hi][j]  # numbers ascend within a run
-            np_, nq = size[p], size[q]
-            need = _difference(np_, nq, num, den) + extra
-            good = (p != q) & (np.minimum(np_, nq) * den >= np.maximum(np_, nq) * num) & (np.maximum(least[lo:hi][i], least[lo:hi][j]) < need)
-            found = (p[good].astype(np.uint64) << np.uint64(32)) | q[good].astype(np.uint64)
-            found.sort()
-            first = _starts(found)
-            often = np.diff(np.append(first, len(found)))
-            found = found[first]
-            yield names[(found >> np.uint64(32)).astype(np.int64)], names[(found & np.uint64(0xFFFFFFFF)).astype(np.int64)], often
-
-
-def _packed(doc: np.ndarray, group: np.ndarray, sig: np.ndarray, rank: np.ndarray, partitions: int):
-    """Per partition: the texts concerned, and of every group the sorted signatures and who has them.
-
-    Sorted hashes are kept as differences of three bytes where all of them fit.
+def packed(doc: np.ndarray, h: np.ndarray, whole: np.ndarray, tag: np.ndarray, partitions: int):
+    """(partition, entries as bytes) of a chunk: sorted words (hash, class tag, whole content), as differences by byte planes."""
+    to = ((h & np.uint64((1 << (64 - _SIG_BITS)) - 1)) % np.uint64(partitions)).astype(np.uint16 if partitions < 1 << 16 else np.uint32)
+    word = ((h >> np.uint64(64 - _SIG_BITS)) << np.uint64(64 - _SIG_BITS)) | (tag[doc] << np.uint64(1)) | whole
+    by = np.argsort(word)
+    by = by[np.argsort(to[by], kind="stable")]
+    word, to = word[by], to[by]
+    fresh = np.ones(len(word), bool)
+    fresh[1:] = (word[1:] != word[:-1]) | (to[1:] != to[:-1])  # copies within the chunk
+    word, to = word[fresh], to[fresh]
+    begin = _starts(to)
+    for s, e in zip(begin, [*begin[1:], len(to)]):
+        planes = np.ascontiguousarray(np.diff(word[s:e], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
+        yield int(to[s]), planes[:6].tobytes(), pa.compress(planes[6:].tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(low: bytes, high: bytes) -> np.ndarray:
+    """The words of one chunk and partition, undoing packed()."""
+    n = len(low) // 6
+    planes = np.empty((8, n), np.uint8)
+    planes[:6] = np.frombuffer(low, np.uint8).reshape(6, n)
+    planes[6:] = np.frombuffer(pa.decompress(high, 2 * n, codec="zstd"), np.uint8).reshape(2, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def meetings(word: np.ndarray, slice_rows: int = 4_000_000):
+    """(tag, tag, how often) of the classes that meet in a partition's words; `word` is sorted in place.
+
+    Slices bound the memory; every pair of a run is made. Two entries of
+    neighbourhoods that are no whole content do not meet.
     """
-    word = (group.astype(np.uint64) << np.uint64(48)) | ((sig & np.uint64(0xFFFFFFFF)) << np.uint64(16)) | (rank.astype(np.uint64) << np.uint64(11)) | doc.astype(np.uint64)
     word.sort()
-    group = (word >> np.uint64(48)).astype(np.int64)
-    edges = np.append(_starts(group), len(group))
-    names = group[edges[:-1]]
-    to = (names // 64 * 7 + names % 64) % partitions
-    for p in np.unique(to):
-        mine = np.flatnonzero(to == p)
-        parts = [word[edges[k] : edges[k + 1]] for k in mine]
-        low = [(x & np.uint64(0x7FF)).astype(np.int64) for x in parts]
-        who = np.unique(np.concatenate(low))
-        renumber = np.zeros(CHUNK_ROWS, np.uint16)
-        renumber[who] = np.arange(len(who))
-        sigs, whos = [], []
-        for x, d in zip(parts, low):
-            h = ((x >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            step = np.diff(h, prepend=np.uint32(0))
-            small = step.max() < 1 << 24
-            sigs.append((step.astype(np.uint16).tobytes() + (step >> np.uint32(16)).astype(np.uint8).tobytes()) if small else h.tobytes())
-            whos.append((renumber[d] | (((x >> np.uint64(11)) & np.uint64(31)) << np.uint64(11)).astype(np.uint16)).tobytes())
-        yield int(p), who, names[mine], [len(x) for x in parts], sigs, whos
-
-
-def _unpacked(ids: np.ndarray, sizes: np.ndarray, count: int, sig: bytes, who: bytes):
-    """(ids, sizes, signatures, ranks) of one group of one chunk, undoing _packed."""
-    if len(sig) == 4 * count:
-        h = np.frombuffer(sig, np.uint32)
-    else:
-        h = np.cumsum(np.frombuffer(sig, np.uint16, count).astype(np.uint32) + (np.frombuffer(sig, np.uint8, count, 2 * count).astype(np.uint32) << np.uint32(16)), dtype=np.uint32)
-    w = np.frombuffer(who, np.uint16)
-    d = (w & np.uint16(0x7FF)).astype(np.int64)
-    return ids[d], sizes[d], h, (w >> np.uint16(11)).astype(np.uint8)
-
-
-def _gathered(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All chunks of one group in arrays of 17 bytes an entry; the packed chunks are let go one by one."""
-    total = sum(x[2] for x in parts)
-    out = (np.empty(total, np.uint64), np.empty(total, np.int32), np.empty(total, np.uint32), np.empty(total, np.uint8))
-    at = total
-    while parts:
-        one = _unpacked(*parts.pop())
-        at -= len(one[0])
-        for whole, part in zip(out, one):
-            whole[at : at + len(part)] = part
-    return out
+    fresh = np.ones(len(word), bool)
+    fresh[1:] = word[1:] != word[:-1]
+    word = word[fresh]
+    sig = word >> np.uint64(64 - _SIG_BITS)
+    begin = _starts(sig)
+    n = np.diff(np.append(begin, len(sig)))
+    word = word[np.repeat(n, n) > 1]
+    if not len(word):
+        return
+    sig = word >> np.uint64(64 - _SIG_BITS)
+    begin = _starts(sig)
+    n = np.diff(np.append(begin, len(sig)))
+    # a run's pairs are made row by row: element i with all behind it, in slices over elements
+    behind = np.repeat(begin + n, n) - np.arange(len(word)) - 1
+    made = np.cumsum(behind)
+    cuts = np.unique(np.searchsorted(made, np.arange(0, made[-1], slice_rows), side="right"))
+    for s, e in zip(cuts, [*cuts[1:], len(word)]):
+        a = np.repeat(np.arange(s, e), behind[s:e])
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(behind[s:e]) - behind[s:e], behind[s:e])
+        met = ((word[a] | word[b]) & np.uint64(1)) > 0
+        mask = np.uint64((1 << _TAG_BITS) - 1)
+        x, y = (word[a[met]] >> np.uint64(1)) & mask, (word[b[met]] >> np.uint64(1)) & mask
+        x, y = np.minimum(x, y), np.maximum(x, y)
+        other = x != y
+        x, y = x[other], y[other]
+        by = np.lexsort((y, x))
+        x, y = x[by], y[by]
+        first = np.ones(len(x), bool)
+        first[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+        first = np.flatnonzero(first)
+        if len(first):
+            yield x[first], y[first], np.diff(np.append(first, len(x)))
 
 
 def similar(
-    df: DataFrame, key: str, text: str, shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD, least_words: int = 0
+    df: DataFrame,
+    key: str,
+    text: str,
+    shingle: int = SHINGLE,
+    threshold: tuple[int, int] = THRESHOLD,
+    least_words: int = 0,
+    neighbourhoods: bool | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(members, links): each key's class of equal shingle sets, and the pairs of similar classes.
 
@@ -316,25 +300,31 @@ def similar(
     similarity common/total is at least the threshold num/den. Texts of fewer
     than `least_words` words, without a shingle, or null belong to no class.
     Keys delivered again with the same text count once; null keys are left out.
+    `neighbourhoods` fixes the index of all bands instead of the estimate.
     """
     num, den = threshold
+    if not LEAST_THRESHOLD <= num / den <= 1:
+        raise ValueError("the threshold must be between 1/4 and 1")
     spark = df.sparkSession
     src = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("key").isNotNull() & F.col("text").isNotNull())
     kind = src.schema["key"].dataType.simpleString()
 
     def tally(batches):
-        seen = np.zeros(SKETCH, np.int64)
+        seen = np.zeros(SKETCH + BANDS, np.int64)
         for batch in batches:
             for part in chunks(batch, "text", CHUNK, CHUNK_ROWS):
-                token, _ = _sets(part.column(1), shingle, least_words)
-                seen += np.bincount((token % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+                token, doc = _sets(part.column(1), shingle, least_words)
+                seen[:SKETCH] += np.bincount((token % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+                seen[SKETCH:] += np.bincount(_band(np.bincount(doc)[np.unique(doc)]), minlength=BANDS)
         return seen
 
-    sketch = spark.sparkContext.broadcast(summed(src, tally, SKETCH).astype(np.float32))
-
+    counts = summed(src, tally, SKETCH + BANDS)
+    whole = allocation(counts[:SKETCH], counts[SKETCH:], num, den) if neighbourhoods is None else np.arange(BANDS) * neighbourhoods > 0
+    shared = spark.sparkContext.broadcast((counts[:SKETCH], whole))  # 8 bytes a cell of the sketch
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def route(batches):
+        sketch, allocated = shared.value
         for batch in batches:
             for part in chunks(batch, "text", CHUNK, CHUNK_ROWS):
                 token, doc = _sets(part.column(1), shingle, least_words)
@@ -342,31 +332,27 @@ def similar(
                     continue
                 begin = _starts(doc)
                 own = doc[begin]
-                set_id = mix(np.add.reduceat(mix(token), begin)).view(np.int64)
-                size = np.diff(np.append(begin, len(doc))).astype(np.int32)
+                set_id = mix(np.add.reduceat(mix(token), begin))
                 number = np.full(part.num_rows, -1)
                 number[own] = np.arange(len(own))
-                packed = _packed(*signatures(token, number[doc], sketch.value, num, den), n)
+                made = entries(token, number[doc], sketch, allocated, num, den)
+                rows = list(packed(*made, set_id >> np.uint64(64 - _TAG_BITS), n))
+                to, low, high = zip(*rows) if rows else ((), (), ())
                 keys = part.column(0).take(pa.array(own))
-                rows = [(to, set_id[who], size[who], groups, lengths, sigs, whos) for to, who, groups, lengths, sigs, whos in packed]
-                to, ids, sizes, groups, lengths, sigs, whos = zip(*rows)
+                ids = set_id.view(np.int64)
+                none = [None] * len(rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([*to, int(set_id[0]) % n], pa.int32()),
-                        pa.array([*ids, set_id], pa.list_(pa.int64())),
-                        pa.array([*sizes, []], pa.list_(pa.int32())),
-                        pa.array([*groups, []], pa.list_(pa.int32())),
-                        pa.array([*lengths, []], pa.list_(pa.int32())),
-                        pa.array([*sigs, []], pa.list_(pa.binary())),
-                        pa.array([*whos, []], pa.list_(pa.binary())),
-                        pa.array([*([[]] * len(rows)), keys.to_pylist()], pa.list_(keys.type)),
+                        pa.array([*low, None], pa.binary()),
+                        pa.array([*high, None], pa.binary()),
+                        pa.array([*none, ids], pa.list_(pa.int64())),
+                        pa.array([*none, keys.to_pylist()], pa.list_(keys.type)),
                     ],
-                    names=["p", "ids", "sizes", "groups", "lengths", "sigs", "whos", "keys"],
+                    names=["p", "low", "high", "ids", "keys"],
                 )
 
-    packed = src.mapInArrow(
-        route, f"p int, ids array<bigint>, sizes array<int>, groups array<int>, lengths array<int>, sigs array<binary>, whos array<binary>, keys array<{kind}>"
-    )
+    routed = src.mapInArrow(route, f"p int, low binary, high binary, ids array<bigint>, keys array<{kind}>")
 
     def meet(batches):
         held: dict[int, list] = {}
@@ -374,25 +360,26 @@ def similar(
         for batch in batches:
             key_type = batch.schema.field("keys").type.value_type
             for row in batch.to_pylist():
-                ids = np.array(row["ids"], np.int64)
-                if not row["groups"]:
-                    m = len(ids)
-                    yield pa.RecordBatch.from_arrays([pa.array(row["keys"], key_type), pa.array(ids), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())], names=["key", "a", "b", "often"])
+                if row["low"] is not None:
+                    held.setdefault(row["p"], []).append(unpacked(row["low"], row["high"]))
                     continue
-                ids, sizes = ids.view(np.uint64), np.array(row["sizes"], np.int32)
-                for g, count, sig, who in zip(row["groups"], row["lengths"], row["sigs"], row["whos"]):
-                    held.setdefault(g, []).append((ids, sizes, count, sig, who))
-        for g in list(held):
-            for a, b, often in candidates(*_gathered(held.pop(g)), g // 64, num, den):
+                m = len(row["ids"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row["keys"], key_type), pa.array(row["ids"], pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())], names=["key", "a", "b", "often"]
+                )
+        for p in list(held):
+            for a, b, often in meetings(np.concatenate(held.pop(p))):
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(len(a), key_type), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(often, pa.int64())], names=["key", "a", "b", "often"]
                 )
 
-    met = materialise(packed.repartitionById(n, "p").mapInArrow(meet, f"key {kind}, a bigint, b bigint, often bigint"))
+    met = materialise(routed.repartitionById(n, "p").mapInArrow(meet, f"key {kind}, a bigint, b bigint, often bigint"))
     members = met.where("b IS NULL").select("key", F.col("a").alias("set_id")).distinct()
-    meetings = met.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "often")
-    pairs = meetings.groupBy("a", "b").agg(F.sum("often").alias("often")).where(F.col("often") >= SUBSETS).select("a", "b")
-    links = materialise(_verified(src, members, pairs, shingle, least_words, num, den))
+    tags = met.where("b IS NOT NULL").groupBy("a", "b").agg(F.sum("often").alias("often")).where(F.col("often") >= MEETINGS)
+    tagged = members.select("set_id", F.shiftrightunsigned("set_id", 64 - _TAG_BITS).alias("tag")).distinct()
+    ends = [tagged.select(F.col("set_id").alias(f"s{x}"), F.col("tag").alias(x)) for x in "ab"]
+    pairs = tags.join(ends[0], "a").join(ends[1], "b").select(F.least("sa", "sb").alias("a"), F.greatest("sa", "sb").alias("b"))
+    links = _verified(src, members, pairs, shingle, least_words, num, den)
     return members.withColumnRenamed("key", key), links
 
 
@@ -402,21 +389,15 @@ def _verified(src: DataFrame, members: DataFrame, pairs: DataFrame, shingle: int
     pairs = materialise(pairs)
     wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
     chosen = materialise(members.join(wanted, "set_id").groupBy("set_id").agg(F.min("key").alias("key")))
-    hashed = F.pmod(F.xxhash64("key"), F.lit(CANDIDATE_BITS)).cast("int").alias("slot")
-
-    def mark(batches):
-        seen = np.zeros(CANDIDATE_BITS, np.int64)
-        for b in batches:
-            seen += np.bincount(b.column(0).to_numpy(), minlength=CANDIDATE_BITS)
-        return seen
-
-    marked = spark.sparkContext.broadcast(summed(chosen.select(hashed), mark, CANDIDATE_BITS) > 0)
+    bits, size = bitmap(chosen.select(F.xxhash64("key").alias("h")))
+    marked = spark.sparkContext.broadcast(bits)
 
     def pick(batches):
         for b in batches:
-            yield b.filter(pa.array(marked.value[b.column(2).to_numpy()])).select(["key", "text"])
+            slot = b.column(2).to_numpy() & (size - 1)
+            yield b.filter(pa.array((marked.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0)).select(["key", "text"])
 
-    texts = src.select("key", "text", hashed).mapInArrow(pick, src.select("key", "text").schema)
+    texts = src.select("key", "text", F.xxhash64("key").alias("h")).mapInArrow(pick, src.select("key", "text").schema)
     # a key delivered again gives its text again: one per class is enough
     one = texts.join(chosen, "key").groupBy("set_id").agg(F.max("text").alias("text"))
     sides = pairs.join(one.withColumnsRenamed({"set_id": "a", "text": "ta"}), "a").join(one.withColumnsRenamed({"set_id": "b", "text": "tb"}), "b")
@@ -439,17 +420,29 @@ def _verified(src: DataFrame, members: DataFrame, pairs: DataFrame, shingle: int
                 [batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(total, pa.int64())], names=["a", "b", "common", "total"]
             ).filter(pa.array(good))
 
-    return sides.select("a", "b", "ta", "tb").mapInArrow(verify, "a bigint, b bigint, common bigint, total bigint")
+    links = materialise(sides.select("a", "b", "ta", "tb").mapInArrow(verify, "a bigint, b bigint, common bigint, total bigint"))
+    discard(pairs)
+    discard(chosen)
+    return links
+
+
+BLOCK = 512  # copies of a class that are paired with each other in one group of rows
 
 
 def expand(members: DataFrame, links: DataFrame, key: str) -> DataFrame:
-    """All pairs (key_a, key_b), key_a < key_b, of the links and of equal sets."""
+    """All pairs (key_a, key_b), key_a < key_b, of the links and of equal sets.
+
+    Copies of one class are paired block by block, so a class with a third of
+    all rows is spread over as many groups as it has pairs of blocks.
+    """
     m = members.select(F.col(key).alias("k"), "set_id")
     left, right = m.withColumnsRenamed({"k": "x", "set_id": "a"}), m.withColumnsRenamed({"k": "y", "set_id": "b"})
     across = links.select("a", "b").join(left, "a").join(right, "b").select("x", "y")
-    alike = m.groupBy("set_id").agg(F.count("*").alias("n")).where("n > 1").select("set_id")
-    several = m.join(alike, "set_id")
-    within = several.withColumnRenamed("k", "x").join(several.withColumnRenamed("k", "y"), "set_id").where("x < y").select("x", "y")
+    blocks = m.groupBy("set_id").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("n")).where("n > 1").select("set_id", "blocks")
+    several = m.join(blocks, "set_id").withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    one = several.select("set_id", F.col("k").alias("x"), F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"))
+    two = several.select("set_id", F.col("k").alias("y"), F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"))
+    within = one.join(two, ["set_id", "i", "j"]).where("i < j OR x < y").select("x", "y")
     return across.union(within).where("x <> y").select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b")).distinct()
 
 

@@ -4,6 +4,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from tabularium.llm import neardup as nd
@@ -55,6 +56,46 @@ def test_every_similar_pair_is_found(spark, seed, vocabulary, lengths, k, num, d
     assert got == brute(rows, k, num, den, least)
 
 
+@pytest.mark.parametrize("neighbourhoods", [True, False])
+@pytest.mark.parametrize("k,num,den", [(3, 3, 5), (2, 9, 10), (1, 1, 3)])
+def test_either_index_finds_every_pair(spark, neighbourhoods, k, num, den):
+    rows = corpus(11, 160, 900, [1, 2, 6, 17, 40, 90, 200])
+    df = spark.createDataFrame(rows, "row_id string, text string")
+    members, links = nd.similar(df, "row_id", "text", shingle=k, threshold=(num, den), neighbourhoods=neighbourhoods)
+    got = {(x["row_id_a"], x["row_id_b"]) for x in nd.expand(members, links, "row_id").collect()}
+    assert got == brute(rows, k, num, den, 0)
+
+
+def test_neighbourhoods_are_allocated_where_shingles_are_common():
+    sizes = np.zeros(nd.BANDS, np.int64)
+    sizes[2] = 10_000
+    rare, common = np.full(nd.SKETCH, 2), np.zeros(nd.SKETCH, np.int64)
+    common[:300] = 4_000
+    assert not nd.allocation(rare, sizes, 4, 5)[2] and nd.allocation(common, sizes, 9, 10)[2]
+    assert not nd.allocation(common * 0, sizes, 4, 5).any()
+
+
+def test_words_survive_packing():
+    r = np.random.default_rng(1)
+    h, doc = r.integers(0, 1 << 63, 5000).astype(np.uint64), r.integers(0, 50, 5000)
+    tag, whole = r.integers(0, 1 << 35, 50).astype(np.uint64), r.random(5000) < 0.5
+    got = {p: nd.unpacked(a, b) for p, a, b in nd.packed(doc, h, whole, tag, 7)}
+    want = {(int(x % (1 << 36)) % 7, int(x >> 36), int(tag[d]), bool(f)) for x, d, f in zip(h.tolist(), doc, whole)}
+    assert {(p, int(x >> 36), int(x >> 1) % (1 << 35), bool(x & 1)) for p, v in got.items() for x in v.tolist()} == want
+
+
+def test_blocks_of_copies(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 8)
+    members = spark.createDataFrame([(f"k{i:02d}", i % 2 * 7) for i in range(60)], "row_id string, set_id bigint")
+    got = nd.expand(members, spark.createDataFrame([], "a bigint, b bigint"), "row_id").collect()
+    assert len(got) == len(set(got)) == 2 * 30 * 29 // 2 and all(x["row_id_a"] < x["row_id_b"] for x in got)
+
+
+def test_thresholds_out_of_range(spark):
+    with pytest.raises(ValueError):
+        nd.similar(spark.createDataFrame([], "k string, t string"), "k", "t", threshold=(1, 5))
+
+
 def test_classes_are_the_connected_components(spark):
     rows = corpus(7, 150, 3000, [60, 90])
     df = spark.createDataFrame(rows, "row_id string, text string")
