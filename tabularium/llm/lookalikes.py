@@ -6,7 +6,10 @@ mapping (widths, styled letters, ligatures, accents, spaces, zero-width signs,
 hyphens) follows from the Unicode character database by rule; look-alike
 letters of other scripts, which the database does not hold, are listed. The
 mapping is checked for conflicts when it is compiled: no input has two
-outputs, and every output is stable under the transducer.
+outputs, and every output is stable under the transducer. A cluster that the
+trie does not cover as a whole (marks in another order, several marks, Hangul
+letters) is mapped sign by sign, ordered by combining class and composed, so
+canonically equal texts come out equal.
 """
 
 from __future__ import annotations
@@ -14,31 +17,41 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
-from functools import cache
+from functools import cache, lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Letters of Greek and Cyrillic that look like a Latin letter.
+# Letters of other scripts that look like a Latin letter.
 LOOKALIKE = {
+    # Greek
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O",
     "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "α": "a", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p",
     "υ": "u", "χ": "x", "γ": "y", "ϲ": "c", "Ϲ": "C", "ϳ": "j",
+    # Cyrillic
     "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T",
     "У": "Y", "Х": "X", "Ѕ": "S", "І": "I", "Ј": "J", "Ԛ": "Q", "Ԝ": "W", "Ү": "Y", "Һ": "h", "а": "a",
     "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "һ": "h",
     "ԁ": "d", "ԛ": "q", "ԝ": "w", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "ү": "y", "ӏ": "l",
-    "Ӏ": "I", "ѵ": "v", "Ѵ": "V",
+    "Ӏ": "I", "ѵ": "v", "Ѵ": "V", "Ԍ": "G", "г": "r", "ь": "b", "Ь": "b", "ҽ": "e",
+    # Armenian
+    "օ": "o", "ս": "u", "հ": "h", "ո": "n", "ց": "g", "զ": "q", "Օ": "O", "Տ": "S", "Ս": "U", "Լ": "L",
+    # Cherokee
+    "Ꭰ": "D", "Ꭱ": "R", "Ꭲ": "T", "Ꭵ": "i", "Ꭹ": "Y", "Ꭺ": "A", "Ꭻ": "J", "Ꭼ": "E", "Ꮃ": "W", "Ꮇ": "M",
+    "Ꮋ": "H", "Ꮍ": "Y", "Ꮐ": "G", "Ꮓ": "Z", "Ꮟ": "b", "Ꮢ": "R", "Ꮤ": "W", "Ꮥ": "S", "Ꮩ": "V", "Ꮪ": "S",
+    "Ꮮ": "L", "Ꮯ": "C", "Ꮲ": "P", "Ꮶ": "K", "Ꮷ": "d", "Ᏻ": "G", "Ᏼ": "B",
 }
 # Signs without width.
 ZERO_WIDTH = "­᠎​‌‍‎‏⁠⁡⁢⁣⁤﻿"
 NO_BREAK_HYPHEN = "‑"
 
-FULL_WIDTH, COMBINING, INVISIBLE, SPACE, HYPHEN, LIGATURE, STYLED, SCRIPT = (
-    "full_width", "combining", "zero_width", "space", "hyphen", "ligature", "styled", "lookalike",
+FULL_WIDTH, COMBINING, INVISIBLE, SPACE, HYPHEN, LIGATURE, STYLED, SCRIPT, UNRESOLVED, OTHER_SCRIPT, CANONICAL = (
+    "full_width", "combining", "zero_width", "space", "hyphen", "ligature", "styled", "lookalike", "unresolved", "other_script", "canonical",
 )
+#: What makes a value inconsistent in the sense of `p3_found`; the other classes are canonical variants and scripts beyond Greek and Cyrillic.
+REPORTED = (FULL_WIDTH, COMBINING, INVISIBLE, SPACE, HYPHEN, LIGATURE, STYLED, SCRIPT, UNRESOLVED)
 
 
 def _is_mark(c: str) -> bool:
@@ -61,121 +74,164 @@ def _kind_by_rule(c: str) -> tuple[str, str] | None:
         return target, STYLED
     if tag == "<compat>" and "LIGATURE" in unicodedata.name(c, "") and all(x.isalpha() for x in target) and 0xFB00 <= ord(c) < 0xFB50:
         return target, LIGATURE
+    if (same := unicodedata.normalize("NFC", c)) != c:
+        return same, COMBINING if _is_mark(c) else CANONICAL
     return None
 
 
+class Transducer:
+    """The compiled mapping: `points` of single signs, `trie` of sequences, `cluster` and `run` to cut a text."""
+
+    def __init__(self) -> None:
+        """Raises ValueError on a conflict."""
+        self.points: dict[str, tuple[str, str]] = {}
+        sequences: dict[str, tuple[str, str]] = {}
+        # what joins the sign before it: marks, Hangul vowels and finals (by rule), second parts of composed letters
+        extend = {chr(k) for r in (range(0x1161, 0x1176), range(0x11A8, 0x11C3)) for k in r}
+        for k in range(128, sys.maxunicode + 1):
+            c = chr(k)
+            if unicodedata.category(c) in ("Cs", "Co", "Cn"):
+                continue
+            if rule := _kind_by_rule(c):
+                self.points[c] = rule
+            if _is_mark(c):
+                extend.add(c)
+            apart = unicodedata.normalize("NFD", c)
+            if len(apart) > 1 and not 0xAC00 <= k <= 0xD7A3 and unicodedata.normalize("NFC", apart) == c:
+                extend.update(apart[1:])
+                if not _is_mark(c) and sequences.setdefault(apart, (c, COMBINING))[0] != c:
+                    raise ValueError(f"two outputs for {apart!a}")
+        extend.update(c for c, (out, kind) in self.points.items() if kind == INVISIBLE or out[:1] in extend)
+        self.trie: dict = {}
+        for source, value in [*self.points.items(), *sequences.items()]:
+            node = self.trie
+            for c in source:
+                node = node.setdefault(c, {})
+            if node.setdefault("", value) != value:
+                raise ValueError(f"two outputs for {source!a}")
+        codes = sorted(map(ord, extend))
+        edges = [(a, b) for i, a in enumerate(codes) if i == 0 or codes[i - 1] != a - 1 for b in [self._end(codes, i)]]
+        self.extend = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in edges)
+        self.cluster = re.compile(f"(?s).[{self.extend}]*")
+        for source, (out, _) in [*self.points.items(), *sequences.items()]:
+            if out and "".join(self.form(x)[0] for x in self.cluster.findall(out)) != out:
+                raise ValueError(f"the output for {source!a} is not stable")
+
+    @staticmethod
+    def _end(codes: list[int], i: int) -> int:
+        while i + 1 < len(codes) and codes[i + 1] == codes[i] + 1:
+            i += 1
+        return codes[i]
+
+    def form(self, cluster: str) -> tuple[str, frozenset]:
+        """A cluster's one form and the classes found in it: the longest match of the trie, or sign by sign."""
+        node = self.trie
+        for c in cluster:
+            node = node.get(c)
+            if node is None:
+                break
+        if node and "" in node:
+            return node[""][0], frozenset([node[""][1]])
+        found = {self.points[c][1] for c in cluster if c in self.points}
+        mapped = "".join(self.points[c][0] if c in self.points else c for c in cluster)
+        out = unicodedata.normalize("NFC", mapped)  # marks by combining class, then composed; Hangul by rule
+        if any(not c.isascii() and _is_mark(c) for c in cluster):
+            found.add(COMBINING)
+        elif out != mapped:
+            found.add(CANONICAL)
+        return out, frozenset(found)
+
+
 @cache
-def compiled() -> dict:
-    """The trie: code point -> node; a node's key "" holds (output, class).
+def compiled() -> Transducer:
+    return Transducer()
 
-    Raises ValueError on a conflict.
-    """
-    mapping: dict[str, tuple[str, str]] = {}
-
-    def add(source: str, out: str, kind: str) -> None:
-        if mapping.setdefault(source, (out, kind))[0] != out:
-            raise ValueError(f"two outputs for {source!a}")
-
-    for k in range(128, sys.maxunicode + 1):
-        c = chr(k)
-        if unicodedata.category(c) in ("Cs", "Co", "Cn"):
-            continue
-        if rule := _kind_by_rule(c):
-            add(c, *rule)
-        apart = unicodedata.normalize("NFD", c)
-        if len(apart) > 1 and not _is_mark(c) and not 0xAC00 <= k <= 0xD7A3 and unicodedata.normalize("NFC", apart) == c:
-            add(apart, c, COMBINING)
-    trie: dict = {}
-    for source, value in mapping.items():
-        node = trie
-        for c in source:
-            node = node.setdefault(c, {})
-        node[""] = value
-    for source, (out, _) in mapping.items():
-        if rewrite(out, trie=trie)[0] != out:
-            raise ValueError(f"the output for {source!a} is not stable")
-    return trie
-
-
-_LATIN: dict[str, bool] = {}
+
+@lru_cache(maxsize=1 << 14)
+def _formed(cluster: str) -> tuple[str, frozenset]:
+    return compiled().form(cluster)
 
 
+@lru_cache(maxsize=1 << 14)
 def _script(c: str) -> str:
-    """latin, other (Greek or Cyrillic) or an empty string."""
+    """latin, other (Greek or Cyrillic), look (another script with look-alike letters) or an empty string."""
     if c.isascii():
         return "latin" if c.isalpha() else ""
     if not c.isalpha():
         return ""
     name = unicodedata.name(c, "")
-    return "latin" if name.startswith("LATIN ") else "other" if name.startswith(("GREEK ", "CYRILLIC ")) else ""
+    if name.startswith("LATIN "):
+        return "latin"
+    return "other" if name.startswith(("GREEK ", "CYRILLIC ")) else "look" if name.startswith(("ARMENIAN ", "CHEROKEE ")) else ""
 
 
-#: A run around characters that may need work; everything else is copied as it stands.
-_RUN = re.compile(r"[A-Za-z0-9]*(?:[^\x00-\x7f][A-Za-z0-9]*)+")
+#: A stretch of signs without ASCII blanks that holds anything beyond ASCII; all else is copied as it stands.
+_RUN = re.compile(r"(?<![!-~])[!-~]*+(?:[^\x00-\x7f][!-~]*+)++")
 
 
-def rewrite(text: str, label: bool = False, trie: dict | None = None) -> tuple[str, frozenset]:
+def rewrite(text: str, label: bool = False) -> tuple[str, frozenset]:
     """The consistent form of a text and the classes that were found in it.
 
     In a label every Greek or Cyrillic letter counts and is replaced where a
     Latin letter looks like it; in running text only within a word that also
-    has Latin letters. Whole words of another script stay.
+    has Latin letters, and so do Armenian and Cherokee letters in either.
+    Whole words of another script stay. A Greek or Cyrillic letter that no
+    Latin letter looks like stays and is `unresolved`.
     """
     if text.isascii():
         return text, frozenset()
-    root = trie if trie is not None else compiled()
+    clusters = compiled().cluster.findall
     found: set[str] = set()
 
     def run(m: re.Match) -> str:
-        s = m.group()
         out: list[str] = []
         word: list[str] = []
         scripts: set[str] = set()
 
         def flush() -> None:
-            if "other" in scripts and (label or "latin" in scripts):
-                found.add(SCRIPT)
-                word[:] = [LOOKALIKE.get(c, c) for c in word]
+            if len(scripts) > 1 and "latin" in scripts or (label and "other" in scripts):
+                for i, c in enumerate(word):
+                    base = unicodedata.normalize("NFD", c)
+                    which = _script(base[0])
+                    if which not in ("other", "look"):
+                        continue
+                    like = LOOKALIKE.get(base[0])
+                    if like:
+                        word[i] = unicodedata.normalize("NFC", like + base[1:])
+                    if which == "other":
+                        found.add(SCRIPT if like else UNRESOLVED)
+                    elif like:
+                        found.add(OTHER_SCRIPT)
             out.extend(word)
             word.clear()
             scripts.clear()
 
-        i, n = 0, len(s)
-        while i < n:
-            node, j, hit, end = root, i, None, i
-            while j < n and (node := node.get(s[j])) is not None:
-                j += 1
-                if "" in node:
-                    hit, end = node[""], j
-            if hit is None:
-                piece, i = s[i], i + 1
-                if not piece.isascii() and _is_mark(piece):
-                    found.add(COMBINING)
+        for c in clusters(m.group()):
+            if c.isascii():
+                piece = c
             else:
-                piece, i = hit[0], end
-                found.add(hit[1])
-            for c in piece:
-                if c.isalnum() or (not c.isascii() and _is_mark(c)):
-                    word.append(c)
-                    if sc := _script(c):
+                piece, kinds = _formed(c)
+                found.update(kinds)
+            # a cluster can come out as several signs (ligatures); its marks stay with their letter
+            for x in clusters(piece) if len(piece) > 1 else piece:
+                if x[0].isalnum() or (not x[0].isascii() and _is_mark(x[0])):
+                    word.append(x)
+                    if sc := _script(x[0]):
                         scripts.add(sc)
                 else:
                     flush()
-                    out.append(c)
+                    out.append(x)
         flush()
         return "".join(out)
 
-    done = _RUN.sub(run, text)
-    return done, frozenset(found)
+    return _RUN.sub(run, text), frozenset(found)
 
 
 def consistent(text: str | None, label: bool = False) -> tuple[str | None, frozenset]:
-    """rewrite() until stable; a label also loses outer white space. Null stays null."""
+    """rewrite(); a label also loses outer white space if anything was found. Null stays null."""
     if text is None:
         return None, frozenset()
     done, found = rewrite(text, label)
-    while not done.isascii() and (again := rewrite(done, label)[0]) != done:
-        done = again
     return (done.strip() if label and found else done), found
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.llm.leakage import leaks
-from tabularium.llm.lookalikes import normalise, not_ascii
+from tabularium.llm.lookalikes import REPORTED, normalise, not_ascii
 from tabularium.llm.mixing import mix, plan, report, token_counts
 from tabularium.llm.neardup import classes, expand, similar
 from tabularium.llm.personal import find_personal, redact_personal
@@ -49,7 +49,8 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Fields whose value held characters that only look like others."""
     odd = table(spark, d, "sections").where(not_ascii("section", "text"))
     done = normalise(odd, "row_id", {"section": True, "text": False})
-    fields = F.array(*[F.struct(F.lit(f).alias("field"), (F.size(f"{f}_found") > 0).alias("hit")) for f in ("section", "text")])
+    reported = F.array(*[F.lit(c) for c in REPORTED])
+    fields = F.array(*[F.struct(F.lit(f).alias("field"), F.arrays_overlap(f"{f}_found", reported).alias("hit")) for f in ("section", "text")])
     return done.select("row_id", F.inline(fields)).where("hit").select("row_id", "field").distinct()
 
 
