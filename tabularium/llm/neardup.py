@@ -51,6 +51,8 @@ CHUNK = 1 << 22
 CHUNK_ROWS = 1 << 12
 
 _TOKEN_BITS = 44
+_DOC_BITS = 12  # CHUNK_ROWS
+_SEG_BITS = 16
 _SIG_BITS = 28  # of an entry's hash beyond what chose its partition
 _TAG_BITS = 35  # of the text's class; equal tags are told apart later, by the classes that have them
 _EDGES = np.array([1] + [int(np.ceil(FIRST_BAND * BAND_RATIO**j)) for j in range(BANDS - 1)], np.int64)
@@ -88,7 +90,7 @@ def _overlap(n: np.ndarray, other: np.ndarray, num: int, den: int) -> np.ndarray
 def _segments(band: np.ndarray, num: int, den: int) -> np.ndarray:
     """Segments of a band in the index of subsets: few enough that the smallest similar sets still share g + k elements."""
     low = _EDGES[band]
-    return np.clip((SEGMENTS * low).astype(np.int64), 1, np.maximum(low * num // den - MEETINGS, 1))
+    return np.clip((SEGMENTS * low).astype(np.int64), 1, np.clip(low * num // den - MEETINGS, 1, (1 << _SEG_BITS) - 1))
 
 
 def _whole_segments(band: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -127,18 +129,28 @@ def allocation(sketch: np.ndarray, sizes: np.ndarray, num: int, den: int) -> np.
     return out
 
 
+def steps(sketch: np.ndarray) -> np.ndarray:
+    """The sketch's counts in 256 logarithmic steps."""
+    return np.minimum(8 * np.log2(np.maximum(sketch, 1)), 255).astype(np.uint8)
+
+
 def _subset_entries(token: np.ndarray, doc: np.ndarray, rank: np.ndarray, need: np.ndarray, band: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash) of the two-shingle subsets within segments of every text's `need` cheapest shingles."""
     use = rank < need[doc]
     t, d = token[use], doc[use]
-    c = band[d]
     h = mix(t + np.uint64(7))
-    seg = ((h >> np.uint64(40)) % g[d].astype(np.uint64)).astype(np.int64)
-    # h is a bijection of the shingle: texts order a segment's shingles alike
-    by = np.lexsort((h, d * (1 << 16) + seg))
-    d, h, c, seg = d[by], h[by], c[by], seg[by]
-    a, b = _pairs_within(d * (1 << 16) + seg)
-    return d[a], mix(mix(h[a] * np.uint64(3) + h[b]) + (c[a] * (1 << 16) + seg[a]).astype(np.uint64))
+    seg = (h & np.uint64(0xFFFFFF)) % g[d].astype(np.uint64)
+    # sorted as one word (text, segment, hash), so all texts order a segment's shingles alike
+    low = np.uint64(64 - _DOC_BITS - _SEG_BITS)
+    word = (d.astype(np.uint64) << np.uint64(64 - _DOC_BITS)) | (seg << low) | (h >> (np.uint64(64) - low))
+    word.sort()
+    place = word >> low
+    h = word & ((np.uint64(1) << low) - np.uint64(1))
+    a, b = _pairs_within(place)
+    at = place[a]
+    d = (at >> np.uint64(_SEG_BITS)).astype(np.int64)
+    salt = (band[d].astype(np.uint64) << np.uint64(_SEG_BITS)) | (at & np.uint64((1 << _SEG_BITS) - 1))
+    return d, mix(mix(h[a] * np.uint64(3) + h[b]) + salt)
 
 
 def _single_entries(token: np.ndarray, doc: np.ndarray, rank: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,15 +185,19 @@ def _whole_entries(token: np.ndarray, doc: np.ndarray, use: np.ndarray, band: np
 
 
 def entries(token: np.ndarray, doc: np.ndarray, sketch: np.ndarray, whole: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, hash, whole content) of all index entries of a chunk's sets; texts are numbered from 0 without gaps."""
+    """(text, hash, whole content) of all index entries of a chunk's sets.
+
+    Texts are numbered from 0 without gaps, below CHUNK_ROWS; `sketch` has the steps of steps().
+    """
     if not len(token):
         return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool)
     begin = _starts(doc)
     n = np.diff(np.append(begin, len(doc)))
-    # the order of cost that all texts share: rare first, ties by hash
-    seen = np.minimum(sketch[(token % np.uint64(len(sketch))).astype(np.int64)], (1 << 32) - 1).astype(np.uint64)
-    by = np.lexsort((token, (doc.astype(np.uint64) << np.uint64(32)) | seen))
-    token = token[by]
+    # the order of cost that all texts share: rare first in 256 steps, ties by hash; doc is sorted and stays as it is
+    seen = sketch[(token % np.uint64(len(sketch))).astype(np.int64)].astype(np.uint64)
+    word = (doc.astype(np.uint64) << np.uint64(64 - _DOC_BITS)) | (seen << np.uint64(_TOKEN_BITS)) | token
+    word.sort()
+    token = word & np.uint64((1 << _TOKEN_BITS) - 1)
     rank = np.arange(len(token)) - np.repeat(begin, n)
     own = _band(n)
     out = []
@@ -218,19 +234,23 @@ def _pairs_within(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a, a + 1 + k
 
 
+def partitions_for(shingles: int) -> int:
+    """Partitions of the exchange for so many shingles: about 8 MB of entries each, up to 256 MB beyond 10,000 partitions."""
+    size = 8 * shingles
+    return min(size >> 23, max(10_000, size >> 28))
+
+
 def packed(doc: np.ndarray, h: np.ndarray, whole: np.ndarray, tag: np.ndarray, partitions: int):
     """(partition, entries as bytes) of a chunk: sorted words (hash, class tag, whole content), as differences by byte planes."""
     to = ((h & np.uint64((1 << (64 - _SIG_BITS)) - 1)) % np.uint64(partitions)).astype(np.uint16 if partitions < 1 << 16 else np.uint32)
     word = ((h >> np.uint64(64 - _SIG_BITS)) << np.uint64(64 - _SIG_BITS)) | (tag[doc] << np.uint64(1)) | whole
-    by = np.argsort(word)
-    by = by[np.argsort(to[by], kind="stable")]
+    by = np.argsort(to, kind="stable")
     word, to = word[by], to[by]
-    fresh = np.ones(len(word), bool)
-    fresh[1:] = (word[1:] != word[:-1]) | (to[1:] != to[:-1])  # copies within the chunk
-    word, to = word[fresh], to[fresh]
     begin = _starts(to)
     for s, e in zip(begin, [*begin[1:], len(to)]):
-        planes = np.ascontiguousarray(np.diff(word[s:e], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
+        mine = np.sort(word[s:e])
+        mine = mine[_starts(mine)]  # copies within the chunk
+        planes = np.ascontiguousarray(np.diff(mine, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
         yield int(to[s]), planes[:6].tobytes(), pa.compress(planes[6:].tobytes(), codec="zstd", asbytes=True)
 
 
@@ -320,8 +340,8 @@ def similar(
 
     counts = summed(src, tally, SKETCH + BANDS)
     whole = allocation(counts[:SKETCH], counts[SKETCH:], num, den) if neighbourhoods is None else np.arange(BANDS) * neighbourhoods > 0
-    shared = spark.sparkContext.broadcast((counts[:SKETCH], whole))  # 8 bytes a cell of the sketch
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared = spark.sparkContext.broadcast((steps(counts[:SKETCH]), whole))  # a byte a cell of the sketch
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions_for(int(counts[:SKETCH].sum())))
 
     def route(batches):
         sketch, allocated = shared.value
