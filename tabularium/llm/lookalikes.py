@@ -228,18 +228,18 @@ def rewrite(text: str, label: bool = False) -> tuple[str, frozenset]:
 
 
 def consistent(text: str | None, label: bool = False) -> tuple[str | None, frozenset]:
-    """rewrite(); a label also loses outer white space if anything was found. Null stays null."""
+    """rewrite(); a label also loses outer white space. Null stays null."""
     if text is None:
         return None, frozenset()
     done, found = rewrite(text, label)
-    return (done.strip() if label and found else done), found
+    return (done.strip() if label else done), found
 
 
 def normalise(df: DataFrame, key: str, fields: dict[str, bool]) -> DataFrame:
     """(key, each field rewritten, <field>_found) of every row; fields maps a name to whether it is a label.
 
     <field>_found is a sorted array of the classes found, empty if the value
-    was consistent already. ASCII values pass through Arrow untouched. Null
+    was consistent already. ASCII values pass through Arrow untouched, labels but for outer white space. Null
     stays null; repeated keys give repeated rows; other columns are ignored.
     """
     names = list(fields)
@@ -255,7 +255,8 @@ def normalise(df: DataFrame, key: str, fields: dict[str, bool]) -> DataFrame:
                 done = [consistent(x, label) for x in a.filter(odd).to_pylist()]
                 none = pa.scalar([], pa.list_(pa.string()))
                 found = pa.array([sorted(f) for _, f in done], pa.list_(pa.string()))
-                cols.append(pc.replace_with_mask(a, odd, pa.array([x for x, _ in done], a.type)))
+                plain = pc.utf8_trim_whitespace(a) if label else a
+                cols.append(pc.replace_with_mask(plain, odd, pa.array([x for x, _ in done], a.type)))
                 where = odd.to_pylist()
                 it = iter(found)
                 cols.append(pa.array([next(it).as_py() if o else none.as_py() for o in where], pa.list_(pa.string())) if any(where) else pa.array([[]] * len(a), pa.list_(pa.string())))

@@ -1,14 +1,17 @@
 """Personal information in free text: found, and replaced by typed placeholders.
 
-Method: regular expressions propose spans, validators confirm them (the
-check digit of tax file numbers, digit counts of phone and registration
-numbers), and words nearby raise or lower a span's score; spans that reach
-the threshold are kept, longest first where they overlap.
+Method: regular expressions propose spans, validators confirm them (Luhn for
+payment cards, mod-97 for bank accounts, the weighted check sum of tax file
+numbers, digit counts of phone and registration numbers), and words nearby
+raise or lower a span's score; spans that reach the threshold are kept,
+longest first where they overlap. Cheap searches decide which of the patterns
+a text is tried with, and every step is linear in the text but for sorting.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +42,10 @@ PHONE = re.compile(
     rf"|13{_SEP}\d{{2}}{_SEP}\d{{2}}"
     rf")(?!{_SEP}?\d)"
 )
+#: Numbers of other countries, in international notation.
+PHONE_ABROAD = re.compile(rf"(?<![\w+])\+(?!61)[1-9]\d{{0,2}}{_SEP}?(?:\(\d{{1,4}}\){_SEP}?)?\d(?:{_SEP}?\d){{6,11}}(?!{_SEP}?\d)")
+CARD = re.compile(rf"(?<![\d$])(?<!\d{_SEP})[2-6]\d{{3}}(?:{_SEP}?\d){{9,15}}(?!{_SEP}?\d)")
+IBAN = re.compile(r"(?<![\w])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\w])")
 NINE = re.compile(rf"(?<![\d$])(?<![\d$]{_SEP})\d{{3}}({_SEP}?)\d{{3}}\1\d{{3}}(?!{_SEP}?\d)(?!\.\d)")
 EIGHT = re.compile(r"(?<![\w$,.-])\d{8}(?![\w,]?\d|%)")
 TRAVEL = re.compile(rf"(?i:\b(?:passport|travel{_SP}+document)s?(?:{_SP}+(?:number|no\.?|num\.?))?{_SP}*[:\u2013-]?{_SP}*)([A-Za-z]{{1,2}}{_SP}?\d{{7,8}})\b")
@@ -69,26 +76,33 @@ NAME = re.compile(
     rf")(?![\w@'’])(?!-\w)"
 )
 
-# Capitalised words that are no part of a person's name.
+# Capitalised words that are no part of a person's name: function words and words of statutes, offices and
+# organisations, calendar and money, streets and premises.
 NOT_NAMES = frozenset(
     """
     the a an any each every that such its this these another no both all some on in at by of for to if where when unless despite until upon
     and or nor but with without within under over from before after during between records record penalty goods section subsection regulation
     clause item part division subdivision schedule chapter table volume act acts instrument notice determination rules rule declaration order
     notification regulations by-law bylaw principal second first third fourth tax taxes levy levies excise customs tariff superannuation
-    medicare income goods services duty duties rates commissioner deputy assistant controller chief registrar inspector general state assayer
+    medicare income services duty duties rates commissioner deputy assistant controller chief registrar inspector general state assessor
     revenue secretary valuation committee council panel review authority tribunal ombudsman board minister treasurer court federal commonwealth
     australian australia trust society association union club institute university school hospital church holdings group partners pty ltd
-    limited company corporation inc proprietary bank insurance basin terminal wharf depot reef lighthouse harbour dues bonded stores pensions
-    north south east west upper lower old new lake mount port cape glen fort saint point bay river creek valley hill island
+    limited company corporation inc proprietary bank insurance fund pension toll tolls dues fee fees charge charges
     street st road rd avenue ave lane ln drive dr court ct crescent cres parade pde terrace tce place pl highway hwy close way boulevard
-    circuit grove square esplanade walk row unit level lot suite shop flat floor building house january february march april may june july
-    august september october november december monday tuesday wednesday thursday friday saturday sunday contact attention telephone phone
-    email fax mobile objections signed write quote send inquiries enquiries service services locality registration registrations agent agents
-    address name names rate matter amount item answer question receipt reference folio file list dear note notes example
+    circuit grove square esplanade walk row unit level lot suite shop flat floor building house january february march april may june july august
+    september october november december monday tuesday wednesday thursday friday saturday sunday contact attention telephone phone
+    email fax mobile objections signed write quote send inquiries enquiries service locality registration registrations agent agents
+    address name names rate matter amount answer question receipt reference folio file list dear note notes example
     transitional provisions provision scheme refund forms approved reporting entities entity administration consolidated exemptions machinery
     contributions imposition validation indexation factors thresholds renewals terminations suspensions rebate adjustment number figure
-    mr mrs ms miss dr prof sir dame hon
+    mr mrs ms miss dr prof sir dame hon small holders
+    """.split()
+)
+# Words of places, which are surnames too: no name by themselves, but one after a title.
+PLACES = frozenset(
+    """
+    north south east west northern southern eastern western upper lower old new mount mt lake river creek bay port cape glen fort saint point
+    valley hill hills island beach bridge harbour wharf dock basin reef lighthouse terminal depot station airport forest park field fields
     """.split()
 )
 _TITLE = re.compile(rf"\b(?:Mr|Mrs|Ms|Miss|Mx|Dr|Prof)\.?{_SP}+$")
@@ -124,39 +138,67 @@ def _line(text: str, start: int, end: int) -> tuple[int, int]:
     return a, len(text) if b < 0 else b
 
 
+def luhn(digits: str) -> bool:
+    """Whether the last digit of a payment card number checks the others."""
+    total = sum(int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(digits)))
+    return 13 <= len(digits) <= 19 and total % 10 == 0
+
+
+def mod97(account: str) -> bool:
+    """Whether an international bank account number leaves 1 modulo 97."""
+    a = "".join(account.split()).upper()
+    return 15 <= len(a) <= 34 and a.isalnum() and a.isascii() and int("".join(str(int(c, 36)) for c in a[4:] + a[:4])) % 97 == 1
+
+
+def _unusable(words: list[str], titled: bool) -> int | None:
+    """The first word that cannot be part of a name; a title right before outweighs words of places."""
+    barred = NOT_NAMES if titled else NOT_NAMES | PLACES
+    return next((k for k, w in enumerate(words) if len(w) > 1 and any(p.lower() in barred for p in (w, *w.split("-")))), None)
+
+
+_GAP = re.compile(rf"{_SP}+")
+_JOINED_BEFORE, _JOINED_AFTER = re.compile(rf"(?:\band|,){_SP}+$"), re.compile(rf"{_SP}+and{_SP}")
+_RUNNING = re.compile(rf"(?<![A-Z])[a-z]{{2,}},?{_SP}+$")
+
+
 def _names(text: str) -> list[tuple[int, int, str, float]]:
     found = []
     at = 0
     while m := NAME.search(text, at):
         s, e = m.span()
         value = m.group()
-        words = [w.strip(".,") for w in re.split(rf"{_SP}+", value)]
-        bad = next((k for k, w in enumerate(words) if len(w) > 1 and any(p.lower() in NOT_NAMES for p in (w, *w.split("-")))), None)
+        before, after = text[max(0, s - 40) : s], text[e : e + 30]
+        titled = _TITLE.search(before) is not None
+        words = [w.strip(".,") for w in _GAP.split(value)]
+        bad = _unusable(words, titled)
         if bad is not None:
             # go on behind the word that cannot be part of a name
-            k = re.match(rf"(?:[^ \t\u00a0\u2000-\u200a\u202f\u205f\u3000]+{_SP}+){{{bad}}}[^ \t\u00a0\u2000-\u200a\u202f\u205f\u3000]+", value)
-            at = s + max(1, k.end())
+            ends = [g.start() for g in _GAP.finditer(value)] + [len(value)]
+            at = s + max(1, ends[bad])
             continue
         at = e
-        before, after = text[max(0, s - 40) : s], text[e : e + 30]
         inv = m.group("inv") is not None
-        caps = [w for w in words if len(w) > 1 and w.isupper()]
+        full = [w for w in words if len(w) > 1]
+        caps = [w for w in full if w.isupper()]
+        cued = _BEFORE.search(before) is not None
         score = 0.5
-        if len(caps) == len([w for w in words if len(w) > 1]) and not inv:
+        if len(caps) == len(full) and not inv:
             score -= 0.4  # running text in capitals
-        if inv or caps or any(len(w) == 1 for w in words):
+        if inv or caps or len(full) < len(words):
             score += 0.2
-        if _TITLE.search(before):
+        if titled:
             score += 0.4
-        if _BEFORE.search(before):
+        if cued:
             score += 0.3
         if _AFTER.match(after):
             score += 0.3
-        if re.search(rf"(?:\band|,){_SP}+$", before) or re.match(rf"{_SP}+and{_SP}", after):
+        if _JOINED_BEFORE.search(before) or _JOINED_AFTER.match(after):
             score += 0.15
-        if _CAPITAL.search(before) and not _TITLE.search(before):
+        elif _RUNNING.search(before):
+            score += 0.1  # capitalised in the middle of a sentence, by itself
+        if _CAPITAL.search(before) and not titled:
             score -= 0.3  # the rest of a longer capitalised phrase
-        if _THE.search(before) and not _BEFORE.search(before):
+        if not cued and _THE.search(before):
             score -= 0.6
         if _NOT_PERSON_AFTER.match(after):
             score -= 1.0
@@ -164,6 +206,25 @@ def _names(text: str) -> list[tuple[int, int, str, float]]:
     return found
 
 
+#: What has to be in a text for the patterns of numbers, and of addresses, to be tried.
+_LONG_NUMBER = re.compile(r"\d(?:[ .\-()\u00a0\u2000-\u200a\u202f\u2010\u2011]{0,3}\d){5}")
+_HOUSE = re.compile(rf"\d[A-Za-z]?{_SP}+(?!(?:January|February|March|April|May|June|July|August|September|October|November|December)\b)[A-Z]")
+_ACCOUNT = re.compile(r"[A-Z][A-Z]\d\d ?[A-Z0-9]{4}")
+
+
+def _numbers(text: str, out: list) -> list[tuple[int, int, str, float]]:
+    """Adds phone, card and identity numbers to `out`; returns the numbers whose score hangs on a name in their line."""
+    other = lambda m: bool(_NOT_ID.search(text, max(0, m.start() - 30), m.start()))
+    out += [(*m.span(), "phone", 0.8 - 0.6 * other(m)) for p in (PHONE, PHONE_ABROAD) for m in p.finditer(text)]
+    out += [(*m.span(), "card", 0.7 - 0.6 * other(m)) for m in CARD.finditer(text) if luhn(_digits(m.group()))]
+    out += [(*m.span(), "idnumber", 0.8 - 0.6 * other(m)) for m in NINE.finditer(text) if plausible_tfn(_digits(m.group()))]
+    late = []
+    for m in EIGHT.finditer(text):
+        before = text[max(0, m.start() - 40) : m.start()]
+        late.append((*m.span(), "idnumber", 0.3 + 0.6 * bool(_IS_AGENT.search(before)) - 1.0 * bool(_NOT_ID.search(before))))
+    return late
+
+
 def propose(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, kind, score) of every candidate, before overlaps are resolved."""
     out: list[tuple[int, int, str, float]] = []
@@ -172,23 +233,23 @@ def propose(text: str) -> list[tuple[int, int, str, float]]:
         out += [(*m.span(), "email", 1.0) for m in EMAIL.finditer(text)]
     if " dot " in lower:
         out += [(*m.span(), "email", 0.9) for m in EMAIL_WORDS.finditer(text)]
-    out += [(*m.span(), "phone", 0.8 - 0.6 * bool(_NOT_ID.search(text, max(0, m.start() - 30), m.start()))) for m in PHONE.finditer(text)]
-    for m in NINE.finditer(text):
-        if plausible_tfn(_digits(m.group())):
-            out.append((*m.span(), "idnumber", 0.8 - 0.6 * bool(_NOT_ID.search(text, max(0, m.start() - 30), m.start()))))
-    if "assport" in text or "ASSPORT" in text or "ocument" in text or "OCUMENT" in text:
+    late = _numbers(text, out) if _LONG_NUMBER.search(text) else []
+    if "passport" in lower or "travel" in lower:
         out += [(*m.span(1), "idnumber", 0.9) for m in TRAVEL.finditer(text)]
-    address = ADDRESS_CAPS if text.isupper() else ADDRESS
-    out += [(*m.span(), "address", 0.9) for m in address.finditer(text)]
+    if _ACCOUNT.search(text):
+        out += [(*m.span(), "iban", 0.9) for m in IBAN.finditer(text) if mod97(m.group())]
+    if house := _HOUSE.search(text):
+        address = ADDRESS_CAPS if text.isupper() else ADDRESS
+        # what comes before the house number (unit, level, lot) is short
+        out += [(*m.span(), "address", 0.9) for m in address.finditer(text, max(0, house.start() - 80))]
     names = _names(text)
     out += names
-    for m in EIGHT.finditer(text):
-        before = text[max(0, m.start() - 40) : m.start()]
-        score = 0.3 + 0.6 * bool(_IS_AGENT.search(before)) - 1.0 * bool(_NOT_ID.search(before))
-        a, b = _line(text, *m.span())
-        if any(a <= s and e <= b and sc >= THRESHOLD - 0.3 for s, e, _, sc in names):
-            score += 0.4
-        out.append((*m.span(), "idnumber", score))
+    likely = [s for s, _, _, score in names if score >= THRESHOLD - 0.3]
+    ends = [e for _, e, _, score in names if score >= THRESHOLD - 0.3]
+    for s, e, kind, score in late:
+        a, b = _line(text, s, e)
+        k = bisect_left(likely, a)  # names do not overlap, so the first that starts in the line ends first
+        out.append((s, e, kind, score + 0.4 * (k < len(ends) and ends[k] <= b)))
     return out
 
 
@@ -196,11 +257,14 @@ def spans(text: str | None, threshold: float = THRESHOLD) -> list[tuple[int, int
     """(start, end, kind) of the confirmed items in order of their start; overlaps go to the longer span."""
     if not text:
         return []
-    taken: list[tuple[int, int, str]] = []
+    taken: list[tuple[int, int, str]] = []  # in order, without overlaps
     for s, e, kind, score in sorted(propose(text), key=lambda x: (x[0] - x[1], -x[3], x[0])):
-        if score >= threshold and all(e <= a or s >= b for a, b, _ in taken):
-            taken.append((s, e, kind))
-    return sorted(taken)
+        if score < threshold:
+            continue
+        k = bisect_left(taken, (s,))
+        if (k == len(taken) or taken[k][0] >= e) and (k == 0 or taken[k - 1][1] <= s):
+            insort(taken, (s, e, kind))
+    return taken
 
 
 def _placeholders(text: str, items: list[tuple[int, int, str]]) -> str:

@@ -149,3 +149,68 @@ def test_personal_operators(spark):
     assert red["c"]["t"] is None and red["d"]["t"] == "" and red["a"]["items"] == 2
     assert re.search(r"\[NAME\], passport \[IDNUMBER\]", red[None]["t"])
     assert pi.find_personal(df.limit(0), "k", "t").collect() == []
+
+
+MORE = [
+    ("Mr Peter Hill attended.", {("name", "Peter Hill")}),
+    ("She met Maria Schmidt yesterday", {("name", "Maria Schmidt")}),
+    ("The Mount Hill reserve and Peter Hill", set()),
+    ("Pay with 4111 1111 1111 1111 today", {("card", "4111 1111 1111 1111")}),
+    ("Pay with 4111 1111 1111 1112 today", set()),
+    ("to GB82 WEST 1234 5698 7654 32 or DE89370400440532013000.", {("iban", "GB82 WEST 1234 5698 7654 32"), ("iban", "DE89370400440532013000")}),
+    ("to GB82 WEST 1234 5698 7654 33", set()),
+    ("Ring +49 30 12345678 or +44 (20) 7946 0958 now", {("phone", "+49 30 12345678"), ("phone", "+44 (20) 7946 0958")}),
+]
+
+
+@pytest.mark.parametrize("text,want", MORE)
+def test_validated_numbers_and_names_without_cue(text, want):
+    assert {(k, text[s:e]) for s, e, k in pi.spans(text)} == want
+
+
+def test_validators_against_their_definitions():
+    r = random.Random(2)
+    for _ in range(200):
+        d = "".join(r.choice("0123456789") for _ in range(r.randrange(13, 20)))
+        doubled = [int(x) * (2 if (len(d) - 1 - i) % 2 else 1) for i, x in enumerate(d)]
+        assert pi.luhn(d) == (sum(x - 9 if x > 9 else x for x in doubled) % 10 == 0)
+    assert pi.luhn("4111111111111111") and not pi.luhn("411")
+    good = "GB82WEST12345698765432"
+    assert pi.mod97(good) and not any(pi.mod97(good[:i] + str((int(c) + 1) % 10) + good[i + 1 :]) for i, c in enumerate(good) if c.isdigit())
+
+
+def test_scanning_is_linear_in_the_text():
+    import time
+
+    for unit in ("Ann Lee-Ray, 12345678; ", "12 Ash Rd, ", "a@b.example ", "1 2 3 4 ", "A"):
+        times = []
+        for n in (2_000, 8_000):
+            began = time.perf_counter()
+            pi.spans(unit * n)
+            times.append(time.perf_counter() - began)
+        assert times[1] < 10 * times[0] + 0.05
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aAqeео̧̱̣̇̀́̈가각ÅÅé​ Ａﬁ≠ｶﾞ x1", max_size=20), st.booleans())
+def test_canonically_equal_texts_come_out_equal(text, label):
+    import unicodedata
+
+    want = la.consistent(text, label)[0]
+    for form in ("NFC", "NFD"):
+        assert la.consistent(unicodedata.normalize(form, text), label)[0] == want
+    assert la.consistent(want, label)[0] == want
+
+
+@pytest.mark.parametrize("text,want,kind", [("5Ԍ", "5G", "lookalike"), ("5Ж", "5Ж", "unresolved"), ("Ꭰog", "Dog", "other_script"), ("한", "한", "canonical"), ("≠", "≠", "combining")])
+def test_classes_beyond_the_reported_ones(text, want, kind):
+    assert la.consistent(text, True) == (want, frozenset([kind]))
+
+
+def test_one_pass_is_linear():
+    import time
+
+    began = time.perf_counter()
+    la.rewrite("x" * 1_000_000 + " é")
+    la.rewrite("á" * 100_000)
+    assert time.perf_counter() - began < 5
