@@ -161,10 +161,18 @@ _JOINED_BEFORE, _JOINED_AFTER = re.compile(rf"(?:\band|,){_SP}+$"), re.compile(r
 _RUNNING = re.compile(rf"(?<![A-Z])[a-z]{{2,}},?{_SP}+$")
 
 
+#: Where a name may start: a capitalised word before another one.
+_PAIR = re.compile(rf"[{_UP}](?<![\w@.+/'’-].)[\w.'’-]*+,?{_SP}+(?=[{_UP}])")
+
+
 def _names(text: str) -> list[tuple[int, int, str, float]]:
     found = []
     at = 0
-    while m := NAME.search(text, at):
+    while pair := _PAIR.search(text, at):
+        m = NAME.match(text, pair.start())
+        if m is None:
+            at = pair.start() + 1
+            continue
         s, e = m.span()
         value = m.group()
         before, after = text[max(0, s - 40) : s], text[e : e + 30]

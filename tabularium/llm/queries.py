@@ -102,14 +102,19 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return plan(_counts(spark, d), table(spark, d, "mix_targets")).where("NOT reaches").select("source")
 
 
+#: The trusted target of p9: the register's own texts.
+TRUSTED_SOURCE = "register_text"
+
+
 def p9_repetition(spark: SparkSession, d: str) -> DataFrame:
     """Share of repeated content and log-likelihood ratio of every document."""
-    return repetition(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text", "source"))
+    return repetition(docs, "doc_id", "text", F.col("source") == TRUSTED_SOURCE)
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    """Documents with at least three tenths of their words in repeated passages."""
-    return p9_repetition(spark, d).where("n_words > 0 AND repeated_words * 10 >= n_words * 3").select("doc_id")
+    """Documents whose ratio reaches the threshold and that have three tenths of their words or more in repeated passages."""
+    return p9_repetition(spark, d).where("repetitive AND repeated_words * 10 >= n_words * 3").select("doc_id")
 
 
 QUERIES = {

@@ -8,9 +8,10 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tabularium.llm.leakage import leaks, tiles
-from tabularium.llm.repetition import repetition
+from tabularium.llm.repetition import Ratios, repetition
 from tabularium.llm.words import chunks, words
 
 WORD = re.compile("[A-Za-z0-9]+")
@@ -71,18 +72,33 @@ def test_repetition_against_brute_force(spark):
         texts.append((" " if r.random() < 0.5 else "-").join(base))
     rows = [(i, t, "x") for i, t in enumerate(texts)] + [(None, "b " * 20, "x"), (7, texts[7], "x")]
     df = spark.createDataFrame(rows, "id int, t string, key string")
-    for buckets in (1 << 20, 64):  # however many n-grams share a bucket, the result stays
-        got = sorted(((x["id"] is None, x["id"], x["n_words"], x["repeated_words"]) for x in repetition(df, "id", "t", buckets=buckets).collect()), key=str)
+    for buckets, trusted in ((1 << 20, F.col("id") % 3 == 0), (64, F.col("id") == 12), (64, F.lit(None).cast("boolean"))):  # the result stays, and nothing is lost
+        out = repetition(df, "id", "t", trusted, buckets=buckets).collect()
+        got = sorted(((x["id"] is None, x["id"], x["n_words"], x["repeated_words"]) for x in out), key=str)
         want = sorted(((i is None, i, *reversed(share(t))) for i, t, _ in rows), key=str)
         assert got == want
+        assert all(x["repetitive"] for x in out if x["n_words"] and x["repeated_share"] >= 0.3)
 
 
-def test_repetition_scores_clean_documents_zero_and_takes_empty_tables(spark):
-    df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(50))), (2, "a b c d e f g h " * 3)], "id int, t string")
-    got = {x["id"]: x for x in repetition(df, "id", "t").collect()}
-    assert got[1]["score"] == 0 and got[1]["repeated_share"] == 0
-    assert got[2]["score"] > 0 and got[2]["repeated_share"] == pytest.approx(2 / 3)
-    assert repetition(df.limit(0), "id", "t").collect() == []
+def test_the_threshold_parts_clean_documents_and_takes_empty_tables(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(50))) for i in range(30)] + [(30, "a b c d e f g h " * 3), (31, None)]
+    df = spark.createDataFrame(rows, "id int, t string")
+    got = {x["id"]: x for x in repetition(df, "id", "t", F.col("id") < 10).collect()}
+    assert {i for i, x in got.items() if x["repetitive"]} == {30} and got[30]["repeated_share"] == pytest.approx(2 / 3)
+    assert got[30]["score"] < 0 < got[1]["score"] and got[31]["score"] == 0
+    assert repetition(df.limit(0), "id", "t", F.lit(True)).collect() == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 40), min_size=64, max_size=64), st.integers(0, 5000), st.integers(0, 5000), st.floats(0.05, 1.0))
+def test_no_share_scores_above_the_threshold(again, fresh, trusted, least):
+    again = np.array(again)
+    r = Ratios(again, int(again.sum()) + fresh, trusted, least, 8)
+    seen = np.flatnonzero(again)
+    if len(seen):
+        most = r.again[seen].max()
+        for share in (least / 8, least, 1.0):
+            assert share * most + (1 - share) * r.new <= r.threshold
 
 
 def test_tiles_take_the_longest_first_and_count_each_word_once():
