@@ -136,8 +136,71 @@ def test_leaks_against_brute_force(spark):
     docs += [(80, None), (81, ""), (None, " ".join(plain(items[5][1])))]
     D = spark.createDataFrame([(*x, "z") for x in docs], "doc_id int, text string, item_id string")
     I = spark.createDataFrame([(*x, "q") for x in items], "item_id int, text string, seed string")  # noqa: E741
-    got = {(x["item_id"], x["doc_id"]) for x in leaks(D.withColumnRenamed("item_id", "i"), "doc_id", "text", I, "item_id", "text").where("verbatim").collect()}
-    assert got == brute_leaks(docs, items, 15)
+    both = [leaks(D.withColumnRenamed("item_id", "i"), "doc_id", "text", I, "item_id", "text", sent_seeds=k).collect() for k in (10**6, 0)]
+    assert sorted(both[0], key=str) == sorted(both[1], key=str) and len(set(both[0])) == len(both[0])
+    assert {(x["item_id"], x["doc_id"]) for x in both[0] if x["verbatim"]} == brute_leaks(docs, items, 15)
+
+
+def plain_tiles(d, i, seed):
+    """Greedy tiling by its definition: the longest unmarked match again and again, ties by place."""
+    free_d, free_i, found = [True] * len(d), [True] * len(i), []
+    while True:
+        best = (seed - 1, 0, 0)
+        for a in range(len(d)):
+            for b in range(len(i)):
+                k = 0
+                while a + k < len(d) and b + k < len(i) and d[a + k] == i[b + k] and free_d[a + k] and free_i[b + k]:
+                    k += 1
+                if k > best[0]:
+                    best = (k, a, b)
+        if best[0] < seed:
+            return found
+        k, a, b = best
+        found.append(k)
+        for x in range(k):
+            free_d[a + x] = free_i[b + x] = False
+
+
+def test_reordered_passages_of_five_words_and_more_are_all_found(spark):
+    r = random.Random(9)
+    items = [(i, [f"i{i}x{k}" for k in range(r.randrange(12, 60))]) for i in range(12)]
+    docs = []
+    for d in range(90):
+        _, w = r.choice(items)
+        parts, at = [], 0
+        while at < len(w):
+            n = r.randrange(3, 9)
+            parts.append(w[at : at + n])
+            at += n
+        r.shuffle(parts)
+        parts = parts[: r.randrange(1, len(parts) + 1)]
+        docs.append((d, [x for p in parts for x in [*p, f"z{r.randrange(10**6)}"]]))
+    D = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id int, text string")
+    I = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id int, text string")  # noqa: E741
+    want = {}
+    for d, dw in docs:
+        for i, iw in items:
+            t = plain_tiles(dw, iw, 5)
+            if t and (max(t) >= min(15, len(iw)) or sum(t) >= 0.5 * len(iw)):
+                want[i, d] = sum(t)
+    for k in (10**6, 0):
+        got = {(x["item_id"], x["doc_id"]): x["covered"] for x in leaks(D, "doc_id", "text", I, "item_id", "text", sent_seeds=k).collect()}
+        assert got == want and len(want) > 10
+
+
+def test_common_seeds_in_slices(spark, monkeypatch):
+    import tabularium.llm.leakage as lk
+
+    text = "one two three four five six " * 30
+    D = spark.createDataFrame([(1, text), (2, "one two three four five six"), (3, "none")], "doc_id int, text string")
+    I = spark.createDataFrame([(i, f"one two three four five six q{i}") for i in range(20)], "item_id int, text string")  # noqa: E741
+    want = sorted(leaks(D, "doc_id", "text", I, "item_id", "text").collect())
+    assert len(want) == 40
+    s = lk.Seeds(pa.table({"item": pa.array(range(20)), "seed": pa.array([5] * 20), "j": pa.array([0] * 20, pa.int32()), "n": pa.array([6] * 20, pa.int32()), "k": pa.array([5] * 20, pa.int32())}))
+    monkeypatch.setattr(lk, "HITS", 50)
+    slices = list(lk._expanded(s, np.array([0] * 10 + [1]), np.arange(11), np.zeros(11, np.int64)))
+    assert sum(len(x[0]) for x in slices) == 220 and max(len(x[0]) for x in slices) <= 50
+    assert len({(d, i) for x in slices for d, i in set(zip(x[0].tolist(), x[1].tolist()))}) == sum(len(set(zip(x[0].tolist(), x[1].tolist()))) for x in slices)
 
 
 def test_reordered_passages_are_covered(spark):
