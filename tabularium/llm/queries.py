@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabularium.llm.leakage import leaks
 from tabularium.llm.lookalikes import REPORTED, normalise, not_ascii
-from tabularium.llm.mixing import mix, plan, report, token_counts
+from tabularium.llm.mixing import mix, report, token_counts
 from tabularium.llm.neardup import classes, expand, similar
 from tabularium.llm.personal import find_personal, redact_personal
 from tabularium.llm.repetition import repetition
@@ -98,8 +98,8 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    """Sources that cannot reach their share."""
-    return plan(_counts(spark, d), table(spark, d, "mix_targets")).where("NOT reaches").select("source")
+    """Sources whose draws from the schedule do not make up their share."""
+    return p8_report(spark, d).where("NOT reaches").select("source")
 
 
 #: The trusted target of p9: the register's own texts.

@@ -8,7 +8,9 @@ import numpy as np
 import pytest
 
 from tabularium.llm import neardup as nd
-from tabularium.llm.mixing import mix, plan, report, token_counts
+from pyspark.sql import functions as F
+
+from tabularium.llm.mixing import mix, plan, report, reversed_bits, schedule, token_counts
 
 WORD = re.compile("[A-Za-z0-9]+")
 
@@ -162,6 +164,37 @@ def test_mix_reaches_the_targets(spark):
     assert {x["source"]: x["mixed_tokens"] for x in report(mixed, plans).collect()}["none"] == 0
 
 
+def test_schedule_gives_every_block_one_slot_and_keeps_the_shares(spark):
+    want = [(f"s{i}", n) for i, n in enumerate([700, 1, 120, 3, 3, 50, 400, 1, 9])] + [("z", 2000)]
+    total = sum(n for _, n in want)
+    rows = schedule(spark, spark.createDataFrame(want, "source string, blocks bigint"), total).orderBy("slot").collect()
+    assert len({x["slot"] for x in rows}) == len(rows) == total
+    seen = {}
+    for k, x in enumerate(rows, 1):
+        seen[x["source"]] = seen.get(x["source"], 0) + 1
+        assert x["block"] == seen[x["source"]] - 1
+        if k % 500 == 0:
+            assert all(abs(seen.get(s, 0) - n * k / total) < 8 for s, n in want)
+    assert seen == dict(want)
+
+
+def test_reversed_bits(spark):
+    for bits in (1, 7, 33, 62):
+        values = [random.Random(bits).randrange(1 << bits) for _ in range(50)]
+        got = spark.createDataFrame([(v,) for v in values], "v bigint").select("v", reversed_bits(F.col("v"), bits).alias("r")).collect()
+        assert all(x["r"] == int(f"{x['v']:0{bits}b}"[::-1], 2) for x in got)
+
+
+def test_more_sources_than_are_sent(spark, monkeypatch):
+    import tabularium.llm.mixing as mx
+
+    counts = token_counts(docs(spark), "doc_id", "source", "text")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 9)], "source string, target_share double, max_repeats int")
+    one = sorted(mix(counts, targets, block=64)[0].collect(), key=str)
+    monkeypatch.setattr(mx, "SENT_SOURCES", 0)
+    assert sorted(mix(counts, targets, block=64)[0].collect(), key=str) == one
+
+
 def test_mix_of_nothing(spark):
     counts = token_counts(docs(spark).limit(0), "doc_id", "source", "text")
     targets = spark.createDataFrame([("a", 1.0, 1), (None, 0.5, 1), ("b", None, None)], "source string, target_share double, max_repeats int")
