@@ -4,14 +4,16 @@ Method: dynamic programming over boundary positions. The end of every piece
 but the last lies on a boundary; its cost is the boundary's penalty plus the
 piece's squared deviation from an even size, under the length limit and with
 a fixed overlap between neighbours. The cheapest sequence of ends is found in
-one left-to-right pass, looking back at most one piece length.
+one left-to-right pass, looking back at most one piece length. The same
+programme, allowed boundaries of one kind only, says whether the limit can be
+kept with them.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,18 +30,52 @@ _WORD = re.compile(r"\s+")
 PENALTY = {"paragraph": 0.0, "line": 1.0, "sentence": 2.0, "word": 8.0, "none": 40.0}
 
 
-def _widest(pattern: re.Pattern, text: str) -> int:
-    """Length of the longest stretch between the pattern's matches."""
-    widest = last = 0
-    for m in pattern.finditer(text):
-        widest, last = max(widest, m.start() - last), m.end()
-    return max(widest, len(text) - last)
+_CLASSES = (("paragraph", _BLANK), ("line", _LINE), ("sentence", _SENTENCE))
+
+
+def cheapest(begin: np.ndarray, end: np.ndarray, penalty: np.ndarray, limit: int, even: float) -> list[int] | None:
+    """The ends, as indices, of the cheapest sequence of pieces that covers a text; None if there is none.
+
+    A cut at boundary k ends a piece at end[k] and starts the next one at
+    begin[k]; both ascend, the last end is the text's and the first piece
+    starts at 0. Pieces have at most `limit` characters. Of equal costs the
+    earlier cut is taken.
+    """
+    n = len(end)
+    best = np.full(n, np.inf)
+    came = np.full(n, -2, np.int64)
+    low = np.searchsorted(begin, end - limit)  # the first cut that the piece up to each end can follow
+    for i in range(n):
+        e = end[i]
+        if e <= limit:  # a first piece
+            best[i], came[i] = penalty[i] + ((e - even) / limit) ** 2, -1
+        k = low[i]
+        if k < i:
+            cost = best[k:i] + ((e - begin[k:i] - even) / limit) ** 2
+            cost[begin[k:i] <= 0] = np.inf
+            at = int(np.argmin(cost))
+            if cost[at] + penalty[i] < best[i]:
+                best[i], came[i] = cost[at] + penalty[i], k + at
+    if not n or not np.isfinite(best[-1]):
+        return None
+    ends = [n - 1]
+    while came[ends[-1]] >= 0:
+        ends.append(int(came[ends[-1]]))
+    return ends[::-1]
 
 
 def boundary_class(text: str, limit: int) -> str:
-    """The first of paragraph, line, sentence whose stretches all are within the limit, else none."""
-    for name, pattern in (("paragraph", _BLANK), ("line", _LINE), ("sentence", _SENTENCE)):
-        if _widest(pattern, text) <= limit:
+    """The first of paragraph, line, sentence whose cuts alone keep the limit, else none.
+
+    The programme runs without overlap, and what separates two stretches
+    belongs to neither.
+    """
+    for name, pattern in _CLASSES:
+        spans = [m.span() for m in pattern.finditer(text)]
+        end = np.array([a for a, _ in spans] + [len(text)], np.int64)
+        begin = np.array([b for _, b in spans] + [len(text)], np.int64)
+        # separators at the very start leave an empty first stretch; it is no cut
+        if cheapest(np.maximum(begin, 1), end, np.zeros(len(end)), limit, limit) is not None:
             return name
     return "none"
 
@@ -75,29 +111,10 @@ def split(text: str, limit: int, overlap: int) -> list[tuple[int, int, str]]:
     # with cut positions at most half a step apart, the next end can always be reached
     at, kind = _positions(text, max(1, step // 2))
     even = len(text) / -(-(len(text) - overlap) // step) + overlap / 2
-    best: list[float] = []
-    came: list[int] = []
-    for i, e in enumerate(at):
-        cut = PENALTY.get(kind[e], 0.0)
-        if e <= limit:  # a first piece
-            best.append(cut + ((e - even) / limit) ** 2)
-            came.append(-1)
-        else:
-            best.append(float("inf"))
-            came.append(-2)
-        # the piece before ends at q, this one starts at q - overlap
-        for k in range(bisect_left(at, e - step), i):
-            if at[k] > overlap and best[k] + cut < best[i]:
-                cost = best[k] + cut + ((e - at[k] + overlap - even) / limit) ** 2
-                if cost < best[i]:
-                    best[i], came[i] = cost, k
-    pieces = []
-    i = len(at) - 1
-    while i >= 0:
-        k = came[i]
-        pieces.append((at[k] - overlap if k >= 0 else 0, at[i], kind[at[i]]))
-        i = k
-    return pieces[::-1]
+    end = np.array(at, np.int64)
+    ends = cheapest(end - overlap, end, np.array([PENALTY.get(kind[e], 0.0) for e in at]), limit, even)
+    starts = [0, *(at[k] - overlap for k in ends[:-1])]
+    return [(s, at[k], kind[at[k]]) for s, k in zip(starts, ends)]
 
 
 def split_oversized(df: DataFrame, text: str, keep: list[str], limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
