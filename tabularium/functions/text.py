@@ -128,14 +128,22 @@ def topic_pattern(pattern: str, lookaround: bool = True) -> str:
     return out
 
 
-def topic_for(act: Column, heading: Column, body: Column) -> Column:
-    """The first topic found in heading, start of the body and act; `other` if none. Nulls count as empty."""
-    hay = F.concat_ws(" ", F.coalesce(heading, F.lit("")), F.substring(F.coalesce(body, F.lit("")), 1, TOPIC_BODY), F.coalesce(act, F.lit("")))
-    # one pattern per rule on one haystack; bound once so that Catalyst evaluates it once
-    case = F.lit(None).cast("string")
+def haystack(act: Column, heading: Column, body: Column) -> Column:
+    """What a topic is looked for in: heading, start of the body and act; nulls count as empty."""
+    return F.concat_ws(" ", F.coalesce(heading, F.lit("")), F.substring(F.coalesce(body, F.lit("")), 1, TOPIC_BODY), F.coalesce(act, F.lit("")))
+
+
+def topic_of(hay: Column) -> Column:
+    """The first topic whose pattern a haystack holds; `other` if none. Give it a column, so that it is made once."""
+    case = F.lit("other")
     for name, pattern in reversed(TOPICS):
         case = F.when(has(hay, topic_pattern(pattern)), name).otherwise(case)
-    return F.coalesce(case, F.lit("other"))
+    return case
+
+
+def topic_for(act: Column, heading: Column, body: Column) -> Column:
+    """topic_of(haystack(...)) as one expression."""
+    return topic_of(haystack(act, heading, body))
 
 
 def plain_lines(c: Column) -> Column:

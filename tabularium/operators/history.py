@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.operators.snapshots import calendar, settle, with_calendar
+from tabularium.operators.snapshots import Calendar, settle
 
 OPEN_END = "9999-12-31"
 
@@ -65,11 +65,10 @@ def attribute_history(df: DataFrame, key: str, snapshot: str, loaded: str, attri
     names = list(attributes)
     src = df.select(F.col(key).alias("_key"), F.col(snapshot).alias("_snap"), F.col(loaded).alias("_loaded"), *[c.alias(f"_v{i}") for i, c in enumerate(attributes.values())])
     values = [f"_v{i}" for i in range(len(names))]
-    dates = calendar(src, "_snap")
-    length = dates.count()
-    units = with_calendar(settle(src, "_key", "_snap", "_loaded", values), dates, "_snap")
+    dates = Calendar(src, "_snap")
+    units = dates.join(settle(src, "_key", "_snap", "_loaded", values))
     payload = F.struct(*values)
-    runs = coalesce_runs(units, "_key", "_i", payload, length)
+    runs = coalesce_runs(units, "_key", "_i", payload, dates.length)
     begin = with_dates(runs, dates, "s", "_from")
     both = with_dates(begin, dates, "e", "_to", how="left")
     return both.select(
@@ -80,14 +79,6 @@ def attribute_history(df: DataFrame, key: str, snapshot: str, loaded: str, attri
     )
 
 
-def with_dates(runs: DataFrame, dates: DataFrame, position: str, name: str, how: str = "inner") -> DataFrame:
+def with_dates(runs: DataFrame, dates: Calendar, position: str, name: str, how: str = "inner") -> DataFrame:
     """Positions back to dates."""
-    named = dates.select(F.col("_i").alias(position), F.col("_snap").alias(name))
-    return with_calendar_on(runs, named, position, how)
-
-
-def with_calendar_on(runs: DataFrame, named: DataFrame, position: str, how: str) -> DataFrame:
-    from tabularium.operators.snapshots import CALENDAR_BROADCAST_ROWS
-
-    small = len(named.limit(CALENDAR_BROADCAST_ROWS + 1).collect()) <= CALENDAR_BROADCAST_ROWS
-    return runs.join(F.broadcast(named) if small else named, position, how)
+    return dates.join(runs, dates.dates.select(F.col("_i").alias(position), F.col("_snap").alias(name)), position, how)

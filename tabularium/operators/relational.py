@@ -28,13 +28,25 @@ def require_empty(df: DataFrame, message: str, show: int = 5) -> None:
         raise GateError(f"{message}: {[tuple(r) for r in rows]}")
 
 
-def union_scans(scans: list[DataFrame], key: str, order: str) -> DataFrame:
-    """All scans as one table, each key where it was seen first: lowest scan number, then lowest `order`."""
-    out = None
-    for i, s in enumerate(scans):
-        s = s.withColumn("scan", F.lit(i))
-        out = s if out is None else out.unionByName(s)
-    return first_per_key(out, key, ["scan", F.col(order)])
+def matching_scans(scans: list[Column]) -> Column:
+    """The numbers of the scans whose condition a row meets, ascending."""
+    return F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(scans)]))
+
+
+def first_scan(df: DataFrame, scans: list[Column]) -> DataFrame:
+    """Rows that some scan matches, with `scan`, the first that does: a union of all scans, each row where it was seen first.
+
+    One pass; df must be unique by its key.
+    """
+    return df.withColumn("scan", F.array_min(matching_scans(scans))).where(F.col("scan").isNotNull())
+
+
+def scan_counts(df: DataFrame, scans: list[Column]) -> DataFrame:
+    """(scan, matched, new) of every scan, scans without a match included; new rows are those that no earlier scan matched."""
+    found = df.select(matching_scans(scans).alias("_m")).select(F.explode("_m").alias("scan"), F.array_min("_m").alias("_first"))
+    got = found.groupBy("scan").agg(F.count("*").alias("matched"), F.count_if(F.col("scan") == F.col("_first")).alias("new"))
+    every = df.sparkSession.range(len(scans)).select(F.col("id").cast("int").alias("scan"))
+    return every.join(got, "scan", "left").na.fill(0, ["matched", "new"])
 
 
 def latest_with(df: DataFrame, key: str, version: list[str], payload: list[str], usable: Column) -> DataFrame:

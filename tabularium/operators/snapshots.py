@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Broadcasting the snapshot calendar is allowed up to this many dates; beyond it a shuffled join is used.
+# The snapshot calendar is read once and broadcast up to this many dates; beyond it a shuffled join is used.
 CALENDAR_BROADCAST_ROWS = 20_000
 
 
@@ -50,10 +50,21 @@ def calendar(df: DataFrame, snapshot: str) -> DataFrame:
     )
 
 
-def with_calendar(df: DataFrame, dates: DataFrame, snapshot: str) -> DataFrame:
-    """Join the calendar on; broadcast only after its size was checked."""
-    small = len(dates.limit(CALENDAR_BROADCAST_ROWS + 1).collect()) <= CALENDAR_BROADCAST_ROWS
-    return df.join(F.broadcast(dates) if small else dates, snapshot)
+class Calendar:
+    """calendar() computed once, for any number of joins: local rows if they are few, else the plan itself."""
+
+    def __init__(self, df: DataFrame, snapshot: str):
+        self.dates, self.snapshot = calendar(df, snapshot), snapshot
+        rows = self.dates.limit(CALENDAR_BROADCAST_ROWS + 1).collect()
+        self.small = len(rows) <= CALENDAR_BROADCAST_ROWS
+        self.length = len(rows) if self.small else self.dates.count()
+        if self.small:
+            self.dates = df.sparkSession.createDataFrame(rows, self.dates.schema)
+
+    def join(self, df: DataFrame, named: DataFrame | None = None, on: str | None = None, how: str = "inner") -> DataFrame:
+        """df with the calendar, or with columns of it, joined on."""
+        side = self.dates if named is None else named
+        return df.join(F.broadcast(side) if self.small else side, on or self.snapshot, how)
 
 
 def numeric_text(c: Column) -> Column:
@@ -79,7 +90,7 @@ def snapshot_changes(
     """
     src = df.select(F.col(key).alias("_key"), F.col(snapshot).alias("_snap"), F.col(loaded).alias("_loaded"), *[c.alias(f"_v{i}") for i, c in enumerate(compare.values())])
     values = [f"_v{i}" for i in range(len(compare))]
-    rows = with_calendar(settle(src, "_key", "_snap", "_loaded", values), calendar(src, "_snap"), "_snap")
+    rows = Calendar(src, "_snap").join(settle(src, "_key", "_snap", "_loaded", values))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(n, "_key").sortWithinPartitions("_key", "_i")
     w = Window.partitionBy("_key").orderBy("_i")

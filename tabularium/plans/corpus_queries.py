@@ -17,7 +17,7 @@ COLLECTIONS = ["Act", "LegislativeInstrument", "NotifiableInstrument"]
 
 def sections(spark: SparkSession, d: str, columns: list[str]) -> DataFrame:
     """The named columns of every row_id, counted once."""
-    return once_per_key(table(spark, d, "sections"), "row_id", columns, "loaded_at")
+    return once_per_key(table(spark, d, "sections"), "row_id", columns, "loaded_at", wide="text" in columns)
 
 
 def joined(c) -> F.Column:
@@ -51,9 +51,10 @@ def table_blocks(spark, d):
 def phrases(spark, d):
     t = F.col("text")
     s = sections(spark, d, ["act", "heading", "text"])
+    s = s.select("row_id", "heading", "text", X.haystack(F.col("act"), F.col("heading"), t).alias("_hay"))
     return s.select(
         "row_id",
-        X.topic_for(F.col("act"), F.col("heading"), t).alias("topic"),
+        X.topic_of(F.col("_hay")).alias("topic"),
         X.is_ownership_test(t).alias("ownership"),
         X.has(t, X.INDEX_PHRASE).alias("indexed"),
         X.fold(F.col("heading")).alias("heading_ascii"),
@@ -67,7 +68,7 @@ def number_records(spark, d):
 
 
 def number_index(spark, d):
-    return numbers.number_index(sections(spark, d, [*numbers._BASE, "text"])).select("rate_id", "row_id", "part", "pos", "topic", "kind")
+    return numbers.number_index(sections(spark, d, [*numbers._BASE, "text"]), ["row_id", "part", "pos", "topic", "kind"])
 
 
 def number_histograms(spark, d):
@@ -136,11 +137,20 @@ def _titles(spark, d):
     return relational.first_per_key(t, "id", ["name", "collection", "year", "number", "status", "isPrincipal", "isInForce"])
 
 
+def _scans() -> list:
+    """Every keyword in every collection, one scan each."""
+    return [(F.col("collection") == c) & F.col("name").contains(k) for c in COLLECTIONS for k in KEYWORDS]
+
+
 def discover_titles(spark, d):
-    """Every keyword in every collection as one scan each, as a union, each title where it was seen first."""
-    t = _titles(spark, d).where("isInForce")
-    scans = [t.where((F.col("collection") == c) & F.col("name").contains(k)) for c in COLLECTIONS for k in KEYWORDS]
-    return relational.union_scans(scans, "id", "name").select("id", "name", "collection", "isPrincipal", "scan")
+    """The principal titles in force that a scan finds, each with the scan that saw it first."""
+    t = relational.first_scan(_titles(spark, d).where("isInForce"), _scans())
+    return t.where("isPrincipal").select("id", "name", "collection", "isPrincipal", "scan")
+
+
+def scan_counts(spark, d):
+    """How many titles every scan matched, and how many of them no scan before had seen."""
+    return relational.scan_counts(_titles(spark, d).where("isInForce"), _scans())
 
 
 def keywords(spark, d):
@@ -262,7 +272,7 @@ def reconciliation(spark, d):
 
 
 _NAMES = """word_counts sentences amounts table_blocks phrases number_records number_index number_histograms top_per_topic person_rows
-person_titles sparse_person_rows contact_fingerprints unapproved_contacts check_digits pii_summary discover_titles keywords duplicate_titles
+person_titles sparse_person_rows contact_fingerprints unapproved_contacts check_digits pii_summary discover_titles scan_counts keywords duplicate_titles
 latest_documents merged_patches looked_up_names inventory_diff removed_lines lookup_states section_labels section_ordinals volume_counts
 line_islands corpus_rollup kind_histogram subset_rollup reconciliation"""
 QUERIES = {n: globals()[n] for n in _NAMES.split()}

@@ -139,7 +139,8 @@ ORACLE = {
     "sparse_person_rows": f"WITH {ONCE}, {_SUBSET} {persons('subset', 1)}",
     "check_digits": f"SELECT c_custkey, ({_WEIGHTED}) % 11 = 0 AS plausible FROM customer",
     "pii_summary": "SELECT count(*) AS titles, (round_even(coalesce(sum(names_est), 0) / 50.0, 0) * 50)::BIGINT AS names FROM pii_flagged",
-    "discover_titles": f"WITH {_FIRST_TITLE}, s AS ({_SCANS}) SELECT id, name, collection, isPrincipal, scan FROM s QUALIFY row_number() OVER (PARTITION BY id ORDER BY scan, name) = 1",
+    "discover_titles": f"WITH {_FIRST_TITLE}, s AS ({_SCANS}) SELECT id, name, collection, isPrincipal, scan FROM s WHERE isPrincipal QUALIFY row_number() OVER (PARTITION BY id ORDER BY scan, name) = 1",
+    "scan_counts": f"WITH {_FIRST_TITLE}, s AS ({_SCANS}), f AS (SELECT id, min(scan) AS first FROM s GROUP BY 1) SELECT n::INT AS scan, count(s.id) AS matched, count(*) FILTER (WHERE f.first = n) AS new FROM range({len(COLLECTIONS) * len(KEYWORDS)}) r(n) LEFT JOIN s ON s.scan = n LEFT JOIN f ON f.id = s.id GROUP BY 1",
     "keywords": f"WITH {_FIRST_TITLE} SELECT id, array_to_string(list_filter([" + ", ".join(f"CASE WHEN regexp_matches(coalesce(name, ''), '(?i)(^|[^A-Za-z]){k}') THEN {q(k)} END" for k in KEYWORDS) + "], lambda z: z IS NOT NULL), '|') AS keywords FROM t",
     "duplicate_titles": "SELECT id, count(*) AS n FROM titles GROUP BY 1 HAVING count(*) > 1",
     "latest_documents": "SELECT register_id, count(*) AS n_versions, max(retrieved) FILTER (WHERE epub IS NOT NULL) AS retrieved, max_by(epub, (retrieved, loaded_at, epub)) FILTER (WHERE epub IS NOT NULL) AS epub FROM sources GROUP BY 1",

@@ -64,11 +64,15 @@ def materialise(df: DataFrame, compression: str = "zstd") -> DataFrame:
     return table
 
 
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of the JVM for a path: local or whatever the cluster shares."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def discard(table: DataFrame) -> None:
     """Delete a table that materialise() wrote, once nothing reads it any more."""
     path = getattr(table, "_written_to", None)
     if path:
-        spark = table.sparkSession
-        jvm = spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        fs, p = file_system(table.sparkSession, path)
+        fs.delete(p, True)

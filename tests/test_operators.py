@@ -101,8 +101,9 @@ def test_relational(spark):
     assert {r.fresh for r in relational.lookup(a.select("id"), "id", p, "id", ["fresh"], {"fresh": False}).collect()} == {True, False}
     lines = spark.createDataFrame([("NATION_10 x",), ("a.c",), ("abc",), (None,)], "line string")
     assert {r.line for r in relational.lines_without(lines, "line", ["NATION_1", "a.c", ""]).collect()} == {"abc", None}
-    u = relational.union_scans([a.where("n = 2"), a], "id", "n").collect()
-    assert {(r.id, r.scan) for r in u} == {("x", 0), (None, 1), ("y", 1)}
+    scans = [F.col("n") == 2, F.col("n") > 0, F.lit(None).cast("boolean")]
+    assert {(r.id, r.n, r.scan) for r in relational.first_scan(a, scans).collect()} == {("x", 1, 1), ("x", 2, 0), (None, 1, 1), ("y", 5, 1)}
+    assert sorted(tuple(r) for r in relational.scan_counts(a, scans).collect()) == [(0, 1, 1), (1, 4, 3), (2, 0, 0)]
 
 
 def test_lookup_states(spark):
@@ -177,3 +178,21 @@ def test_privacy_and_rollup(spark):
     got = {r.collection: (r.titles, r.rows, r.section_rows) for r in rollup.corpus_rollup(s).collect()}
     assert got == {"unknown": (1, 4, 4), "*": (1, 4, 4)}
     assert {r.collection: r.words for r in rollup.corpus_rollup(s.limit(0)).collect()} == {"*": 0}
+
+
+def test_once_per_key_by_bitmap_is_the_aggregation(spark):
+    from tabularium.sources.bitmaps import bitmap
+    from tabularium.sources.tables import once_per_key
+
+    rows = [(f"k{i % 37}" if i % 37 else None, i % 5 or None, f"t{i}", None) for i in range(60)] + [("once", 1, None, "x")]
+    df = spark.createDataFrame(rows, "k string, at int, text string, h string")
+    for d in (df, df.limit(0), df.where("k = 'once'")):
+        got = [sorted(map(tuple, once_per_key(d, "k", ["text", "h"], "at", wide=w).collect()), key=str) for w in (False, True)]
+        assert got[0] == got[1]
+    b = bitmap(spark.range(-50, 50).selectExpr("xxhash64(id) AS h"))
+    inside = [r.h for r in spark.range(-50, 50).selectExpr("xxhash64(id) AS h").collect()]
+    outside = [r.h for r in spark.range(1000, 3000).selectExpr("xxhash64(id) AS h").collect()]
+    import numpy as np
+
+    assert b.has(np.array(inside)).all() and b.has(np.array(outside)).mean() < 0.01
+    assert bitmap(spark.createDataFrame([(None,)], "h bigint")).empty
