@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.vectors import bitmap
 from tabularium.llm.words import Words, chunks, words
+from tabularium.sources.bitmaps import bitmap
 
 SEED = 5
 VERBATIM = 15
@@ -281,15 +281,13 @@ def leaks(
 def _by_join(spark, texts: DataFrame, seeds: DataFrame, it: str, dt: str, schema: str, seed: int, verbatim: int, coverage: float) -> DataFrame:
     """The leaks where the items are too many to be sent: an equi-join on the seeds, then one stream of hits per pair."""
     sizes = sorted(r["k"] for r in seeds.select("k").distinct().collect())  # at most `seed` numbers
-    bits, size = bitmap(seeds.select("seed"))
-    shared = spark.sparkContext.broadcast(bits)
+    shared = spark.sparkContext.broadcast(bitmap(seeds.select("seed")))  # 16 MB at most
 
     def doc_rows(batches):
         for batch in batches:
             for part in chunks(batch, "text"):
                 doc, i, g = _hashes(words(part.column(1)), sizes)
-                slot = (g & np.uint64(size - 1)).astype(np.int64)
-                hit = (shared.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+                hit = shared.value.has(g.view(np.int64))
                 at = pa.array(doc[hit])
                 yield pa.record_batch(
                     {"doc": part.column(0).take(at), "copy": part.column(2).take(at), "seed": pa.array(g[hit].view(np.int64)), "i": pa.array(i[hit], pa.int32())}

@@ -33,9 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.vectors import bitmap, summed
+from tabularium.llm.vectors import summed
 from tabularium.llm.words import chunks, mix, words
 from tabularium.session import discard, materialise
+from tabularium.sources.bitmaps import bitmap
 
 SHINGLE = 5
 THRESHOLD = (4, 5)
@@ -409,13 +410,11 @@ def _verified(src: DataFrame, members: DataFrame, pairs: DataFrame, shingle: int
     pairs = materialise(pairs)
     wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
     chosen = materialise(members.join(wanted, "set_id").groupBy("set_id").agg(F.min("key").alias("key")))
-    bits, size = bitmap(chosen.select(F.xxhash64("key").alias("h")))
-    marked = spark.sparkContext.broadcast(bits)
+    marked = spark.sparkContext.broadcast(bitmap(chosen.select(F.xxhash64("key").alias("h"))))  # 16 MB at most
 
     def pick(batches):
         for b in batches:
-            slot = b.column(2).to_numpy() & (size - 1)
-            yield b.filter(pa.array((marked.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0)).select(["key", "text"])
+            yield b.filter(pa.array(marked.value.has(b.column(2).to_numpy()))).select(["key", "text"])
 
     texts = src.select("key", "text", F.xxhash64("key").alias("h")).mapInArrow(pick, src.select("key", "text").schema)
     # a key delivered again gives its text again: one per class is enough

@@ -24,13 +24,13 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
     """Every text as pieces within the limit, each with its row_id and section."""
-    once = once_per_key(table(spark, d, "sections"), "row_id", ["section", "text"], "loaded_at")
+    once = once_per_key(table(spark, d, "sections"), "row_id", ["section", "text"], "loaded_at", wide=True)
     return split_oversized(once, "text", ["row_id", "section"])
 
 
 def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
     """Every text with typed placeholders in the place of personal information."""
-    once = once_per_key(table(spark, d, "sections"), "row_id", ["text"], "loaded_at")
+    once = once_per_key(table(spark, d, "sections"), "row_id", ["text"], "loaded_at", wide=True)
     return redact_personal(once, "row_id", "text")
 
 
@@ -43,7 +43,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_normalised(spark: SparkSession, d: str) -> DataFrame:
     """section and text of every row_id in one consistent form."""
-    once = once_per_key(table(spark, d, "sections"), "row_id", ["section", "text"], "loaded_at")
+    once = once_per_key(table(spark, d, "sections"), "row_id", ["section", "text"], "loaded_at", wide=True)
     return normalise(once, "row_id", {"section": True, "text": False})
 
 

@@ -39,34 +39,3 @@ def summed(df: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray
         out[r["slice"] * step : (r["slice"] + 1) * step] += np.frombuffer(r["counts"], np.int64)
     return out
 
-
-LEAST_BITS, MOST_BITS, BITS_A_ROW = 1 << 20, 1 << 28, 16
-_SLICE = 1 << 15  # bits of a bitmap that travel as one row
-
-
-def bitmap(hashes: DataFrame, rows: int | None = None) -> tuple[np.ndarray, int]:
-    """(packed bits, number of bits) with the bit `hash mod bits` set for every row of the one bigint column.
-
-    16 bits a row, at least 2^20 and at most 2^28 (32 MB), which bounds what
-    is collected and broadcast. A fuller bitmap lets more of what is tested
-    pass; it never loses anything.
-    """
-    n = hashes.count() if rows is None else rows
-    size = min(MOST_BITS, max(LEAST_BITS, 1 << max(0, n * BITS_A_ROW - 1).bit_length()))
-    c = hashes.columns[0]
-    slot = hashes.selectExpr(f"{c} & {size - 1}L AS s").selectExpr(f"cast(s DIV {_SLICE} AS int) AS slice", f"cast(s % {_SLICE} AS int) AS at")
-
-    def pack(batches):
-        held: dict[int, np.ndarray] = {}
-        for b in batches:
-            which, at = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for s in np.unique(which):
-                bits = held.setdefault(int(s), np.zeros(_SLICE, bool))
-                bits[at[which == s]] = True
-        yield pa.record_batch({"slice": pa.array(list(held), pa.int32()), "bits": pa.array([np.packbits(x, bitorder="little").tobytes() for x in held.values()], pa.binary())})
-
-    out = np.zeros(size // 8, np.uint8)
-    for r in slot.distinct().repartition("slice").mapInArrow(pack, "slice int, bits binary").toLocalIterator():
-        at = r["slice"] * (_SLICE // 8)
-        out[at : at + _SLICE // 8] |= np.frombuffer(r["bits"], np.uint8)
-    return out, size
