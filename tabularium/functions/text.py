@@ -193,6 +193,11 @@ def cell(c: Column, limit: int) -> Column:
     return F.left(F.replace(F.replace(c, F.lit("|"), F.lit("\\|")), F.lit("\n"), F.lit(" ")), F.lit(limit))
 
 
+def thousands_text(n: Column) -> Column:
+    """A whole number with commas."""
+    return F.format_number(n, 0)
+
+
 def half_even_to(c: Column, unit: int) -> Column:
     """Rounded to a multiple of `unit`, halves to the even multiple."""
     return F.bround(c / unit, 0).cast("bigint") * unit

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,9 +22,16 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def require_empty(df: DataFrame, message: str, show: int = 5) -> None:
-    """Raise GateError with at most `show` offending rows unless the table is empty."""
-    rows = df.limit(show).collect()
+def require_empty(df: DataFrame, message: str, named: list[str] | None = None, show: int = 5) -> None:
+    """Raise GateError unless the table is empty.
+
+    The error names at most `show` rows by the columns `named` (identifiers
+    of titles and rows, never texts) and by 16 digits of each row's SHA-256;
+    no other content of a row gets into it.
+    """
+    columns = named or []
+    digest = F.substring(F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256), 1, 16)
+    rows = df.select(*columns, digest.alias("_digest")).limit(show).collect()
     if rows:
         raise GateError(f"{message}: {[tuple(r) for r in rows]}")
 
@@ -93,19 +101,61 @@ def inventory_diff(expected: DataFrame, present: DataFrame, key: str) -> DataFra
     return e.join(p, F.col("_e") == F.col("_p"), "full_outer").select(F.coalesce("_e", "_p").alias(key), state.alias("state"))
 
 
-def lines_without(df: DataFrame, text: str, needles: list[str]) -> DataFrame:
-    """Rows whose text contains none of the needles.
+SENT_NEEDLES = 20_000  # texts looked for in every line up to which they are sent to the tasks; beyond, they are joined
+ANCHOR = 8
 
-    The needles are a removal list, one per removed title. They become one
-    alternation per 500, so the text is scanned once per block and no join of
-    lines with needles takes place. Null texts stay.
-    """
-    out = df
-    for i in range(0, len(needles), 500):
-        pattern = "|".join("\\Q" + n.replace("\\E", "\\E\\\\E\\Q") + "\\E" for n in sorted(set(needles[i : i + 500])) if n)
-        if pattern:
-            out = out.where(~F.coalesce(F.col(text).rlike(pattern), F.lit(False)))
-    return out
+
+def _automaton(needles: list[str]):
+    import ahocorasick
+
+    a = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    for n in needles:
+        a.add_word(n)
+    a.make_automaton()
+    return a
+
+
+def _texts_with(df: DataFrame, text: str, needles: DataFrame) -> DataFrame:
+    """(_text): the distinct texts that contain a needle, by an equi-join on stretches of at most ANCHOR characters."""
+    n = needles.select(F.col(needles.columns[0]).alias("_n")).withColumn("_w", F.least(F.char_length("_n"), F.lit(ANCHOR))).withColumn("_a", F.left("_n", F.col("_w")))
+    texts = df.select(F.col(text).alias("_text")).where(F.col("_text").isNotNull()).distinct()
+
+    def windows(w: int) -> Column:
+        last = F.char_length("_text") - w + 1
+        cut = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.struct(F.lit(w).alias("_w"), F.substring(F.col("_text"), i, F.lit(w)).alias("_a")))
+        return F.when(last > 0, cut).otherwise(F.array().cast("array<struct<_w:int,_a:string>>"))
+
+    pieces = [windows(w) for w in range(1, ANCHOR + 1)]
+    at = texts.select("_text", F.inline(F.array_distinct(F.concat(*pieces))))
+    return at.join(n, ["_w", "_a"]).where(F.contains("_text", "_n")).select("_text").distinct()
+
+
+def _with_or_without(df: DataFrame, text: str, needles: DataFrame, keep: bool, sent: int) -> DataFrame:
+    needles = needles.select(F.col(needles.columns[0]).alias("_n")).where("_n IS NOT NULL AND _n <> ''").distinct()
+    few = [r["_n"] for r in needles.limit(sent + 1).collect()]
+    if not few:
+        return df.limit(0) if keep else df
+    if len(few) <= sent:
+        shared = df.sparkSession.sparkContext.broadcast(sorted(few))
+
+        def hit(t: pa.Array) -> pa.Array:
+            a = _automaton(shared.value)
+            return pa.array([x is not None and next(a.iter(x), None) is not None for x in t.to_pylist()], pa.bool_())
+
+        found = F.arrow_udf(hit, "boolean")(F.col(text))
+        return df.where(found if keep else ~found)
+    found = _texts_with(df, text, needles)
+    return df.join(found, F.col(text) == F.col("_text"), "left_semi" if keep else "left_anti")
+
+
+def lines_with(df: DataFrame, text: str, needles: DataFrame, sent: int = SENT_NEEDLES) -> DataFrame:
+    """Rows whose text contains one of the needles (the first column of a table, of any size); empty and null needles are none."""
+    return _with_or_without(df, text, needles, True, sent)
+
+
+def lines_without(df: DataFrame, text: str, needles: DataFrame, sent: int = SENT_NEEDLES) -> DataFrame:
+    """Rows whose text contains none of the needles. Null texts stay."""
+    return _with_or_without(df, text, needles, False, sent)
 
 
 def lookup_state(ok: Column, same_title: Column, found: Column, history_ok: Column, history_found: Column, same_version: Column, has_document: Column) -> Column:
@@ -120,3 +170,65 @@ def lookup_state(ok: Column, same_title: Column, found: Column, history_ok: Colu
         .when(~t(has_document), "no-document")
         .otherwise("superseded")
     )
+
+
+def consecutive(snapshots: DataFrame, key: str, snapshot: str, columns: list[str]) -> DataFrame:
+    """Every (key, snapshot) but those of the last one, with the columns of the next snapshot as next_<c>, and there, whether the key is in it.
+
+    `snapshot` becomes the date of the next snapshot.
+    """
+    from tabularium.operators.snapshots import Calendar
+
+    dates = Calendar(snapshots, snapshot)
+    old = dates.join(snapshots).where(F.col("_next").isNotNull())
+    new = snapshots.select(F.col(key).alias("_k"), F.col(snapshot).alias("_at"), *[F.col(c).alias(f"next_{c}") for c in columns])
+    joined = old.join(new, (F.col(key) == F.col("_k")) & (F.col("_next") == F.col("_at")), "left")
+    return joined.select(key, *columns, *[f"next_{c}" for c in columns], F.col("_k").isNotNull().alias("there"), F.col("_next").alias(snapshot))
+
+
+def lookup_states(snapshots: DataFrame, known: DataFrame, key: str, known_key: str, snapshot: str, version: list[str], name: str, document: str) -> DataFrame:
+    """(key, snapshot, state) of every key at every snapshot after one that has it, as lookup_state() has it.
+
+    A lookup failed if the key is there without any version column; it found
+    another title if the name differs (case and outer blanks aside); a key that
+    is gone has a history if `known` lists it.
+    """
+    c = consecutive(snapshots, key, snapshot, [*version, name, document])
+    k = known.select(F.col(known_key).alias("_known")).where(F.col(known_key).isNotNull()).distinct()
+    c = c.join(k, F.col(key) == F.col("_known"), "left")
+    there = F.col("there")
+    failed = there
+    same = F.lit(True)
+    for v in version:
+        failed = failed & F.col(f"next_{v}").isNull()
+        same = same & F.col(v).eqNullSafe(F.col(f"next_{v}"))
+    plain = lambda n: F.lower(F.trim(n))
+    titled = plain(F.col(name)).eqNullSafe(plain(F.col(f"next_{name}")))
+    state = lookup_state(~failed, titled, there, F.lit(True), F.col("_known").isNotNull(), same, F.col(f"next_{document}").isNotNull())
+    return c.select(key, snapshot, state.alias("state"))
+
+
+def document_statuses(listed: DataFrame, snapshots: DataFrame, key: str, snapshot: str, document: str, version: list[str], size: str) -> DataFrame:
+    """(key, status, size) of every listed key in the last snapshot: error (not in it), no_epub (no document), cached (same document and version as in the one before) or ok."""
+    from tabularium.operators.snapshots import Calendar
+
+    dates = Calendar(snapshots, snapshot)
+    placed = dates.join(snapshots)
+    last = placed.where(F.col("_next").isNull()).select(F.col(key).alias("_k"), document, *version, size)
+    ends = dates.dates.where(F.col("_next").isNull()).select((F.col("_i") - 1).alias("_i"))
+    before = placed.join(ends, "_i", "left_semi").select(F.col(key).alias("_b"), *[F.col(c).alias(f"_o_{c}") for c in (document, *version)])
+    j = listed.join(last, F.col(key) == F.col("_k"), "left").join(before, F.col(key) == F.col("_b"), "left")
+    same = F.lit(True)
+    for c in (document, *version):
+        same = same & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    status = F.when(F.col("_k").isNull(), "error").when(F.col(document).isNull(), "no_epub").when(F.col("_b").isNotNull() & same, "cached").otherwise("ok")
+    return j.select(key, status.alias("status"), size)
+
+
+def recoverable(snapshots: DataFrame, key: str, snapshot: str, document: str) -> DataFrame:
+    """(key, snapshot, document) of the latest document of every key whose last row has none; an empty document is none."""
+    got = F.coalesce(F.col(document), F.lit("")) != ""
+    last = F.max(F.struct(snapshot, got.alias("has")))
+    best = F.max(F.when(got, F.struct(snapshot, document)))
+    out = snapshots.groupBy(key).agg(last.alias("_l"), best.alias("_b")).where(~F.col("_l.has") & F.col("_b").isNotNull())
+    return out.select(key, F.col(f"_b.{snapshot}").alias(snapshot), F.col(f"_b.{document}").alias(document))

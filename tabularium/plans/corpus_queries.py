@@ -92,8 +92,7 @@ def person_rows(spark, d):
 
 def person_titles(spark, d):
     s = sections(spark, d, ["register_id", "text"])
-    r = privacy.title_rollup(privacy.person_rows(s), s)
-    return r.withColumn("row_ids", joined("row_ids"))
+    return privacy.title_rollup(privacy.person_rows(s), s)
 
 
 def sparse_person_rows(spark, d):
@@ -110,15 +109,6 @@ def contact_fingerprints(spark, d):
     return _contacts(spark, d).groupBy("register_id", "row_id", "kind", "sha256").agg(F.count("*").alias("n"))
 
 
-def unapproved_contacts(spark, d):
-    """By kind, found and unapproved contacts; the allowlist here is every fingerprint that starts with 0 to 3, so that both sides occur."""
-    c = _contacts(spark, d)
-    allow = c.where(F.substring("sha256", 1, 1).isin("0", "1", "2", "3")).select("kind", "sha256", "register_id").distinct()
-    found = c.groupBy("kind").agg(F.count("*").alias("found"))
-    bad = privacy.unapproved(c, allow).groupBy("kind").agg(F.count("*").alias("unapproved"))
-    return found.join(bad, "kind", "left").select("kind", "found", F.coalesce("unapproved", F.lit(0)).alias("unapproved"))
-
-
 def check_digits(spark, d):
     n = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
     return table(spark, d, "customer").select("c_custkey", I.plausible_tfn(n).alias("plausible"))
@@ -185,25 +175,9 @@ def inventory_diff(spark, d):
 
 
 def removed_lines(spark, d):
-    """Titles whose name holds none of the removed place names, by substring."""
-    needles = [r["n"] for r in table(spark, d, "nation").where("n_nationkey % 5 = 1").select(F.col("n_name").alias("n")).collect()]
-    lines = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.concat_ws(" of ", "s_name", "n_name").alias("line"))
-    return relational.lines_without(lines, "line", needles)
-
-
-def lookup_states(spark, d):
-    """First snapshot against last: what a check of each title would report."""
-    from tabularium.operators.snapshots import numeric_text, settle
-
-    s = table(spark, d, "sources").withColumn("_n", numeric_text(F.col("compilation_number")).cast("bigint"))
-    rows = settle(s, "register_id", "retrieved", "loaded_at", ["_n", "compilation_date", "epub"])
-    ends = table(spark, d, "sources").agg(F.min("retrieved").alias("a"), F.max("retrieved").alias("b")).first()
-    old = rows.where(F.col("retrieved") == F.lit(ends["a"])).select("register_id", F.col("_n").alias("n0"), F.col("compilation_date").alias("d0"))
-    new = rows.where(F.col("retrieved") == F.lit(ends["b"])).select(F.col("register_id").alias("r"), F.col("_n").alias("n1"), F.col("compilation_date").alias("d1"), "epub")
-    j = old.join(new, F.col("register_id") == F.col("r"), "left")
-    true = F.lit(True)
-    state = relational.lookup_state(true, true, F.col("r").isNotNull(), true, true, F.col("n0").eqNullSafe(F.col("n1")) & F.col("d0").eqNullSafe(F.col("d1")), F.col("epub").isNotNull())
-    return j.select("register_id", state.alias("state"))
+    """Section lines that name no title flagged for persons, by substring."""
+    s = sections(spark, d, ["text"]).select("row_id", F.posexplode(X.lines(F.col("text"))).alias("pos", "line"))
+    return relational.lines_without(s, "line", table(spark, d, "pii_flagged").select("name"))
 
 
 # ---- sequences
@@ -272,8 +246,8 @@ def reconciliation(spark, d):
 
 
 _NAMES = """word_counts sentences amounts table_blocks phrases number_records number_index number_histograms top_per_topic person_rows
-person_titles sparse_person_rows contact_fingerprints unapproved_contacts check_digits pii_summary discover_titles scan_counts keywords duplicate_titles
-latest_documents merged_patches looked_up_names inventory_diff removed_lines lookup_states section_labels section_ordinals volume_counts
+person_titles sparse_person_rows contact_fingerprints check_digits pii_summary discover_titles scan_counts keywords duplicate_titles
+latest_documents merged_patches looked_up_names inventory_diff removed_lines section_labels section_ordinals volume_counts
 line_islands corpus_rollup kind_histogram subset_rollup reconciliation"""
 QUERIES = {n: globals()[n] for n in _NAMES.split()}
 

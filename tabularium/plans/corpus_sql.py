@@ -104,6 +104,35 @@ def persons(src: str, n: int) -> str:
     return f"SELECT register_id, row_id, len({NAMES}) AS names, len({NUMBERS}) AS numbers, {words('text')} AS words FROM {src} WHERE len({NAMES}) >= {n} AND len({NUMBERS}) >= {n}"
 
 
+_D, _G = r"[0-9]", r"[\s\p{Z}-]"
+_EMAIL = r"\b[\w.+-]+@[\w-]+(?:\.[\w-]+)+\b"
+_PHONE = (
+    rf"(?:\(0\d\){_G}?\d{{4}}{_G}?\d{{4}}|0[2-8]{_G}?\d{{4}}{_G}?\d{{4}}|04\d{{2}}{_G}?\d{{3}}{_G}?\d{{3}}"
+    rf"|\+61{_G}?(?:\(0\){_G}?)?\d(?:{_G}?\d){{8}}|\+61{_G}?\(0?\d\){_G}?\d(?:{_G}?\d){{7}}|1[38]00{_G}?\d{{3}}{_G}?\d{{3}}|13{_G}?\d{{2}}{_G}?\d{{2}})"
+)
+_TFN_END = r"(?:[^\d\s\p{Z}-]|[\s\p{Z}-](?:[^\d]|$)|$)"
+_TFN = rf"(?i)\b(?:tax file number|TFN)\b[\s\p{{Z}}]*(?:[.:\x{{2013}}-][\s\p{{Z}}]*)?(\d(?:{_G}?\d){{7,8}}){_TFN_END}"
+_BARE = "|".join(rf"\d{{3}}{x}\d{{3}}{x}\d{{3}}" for x in ("", "-", " ", r"\x{A0}"))
+_BARE = rf"(?:^|[^\d$\s\p{{Z}}-]|(?:^|[^\d$])[\s\p{{Z}}-])({_BARE}){_TFN_END}"
+_NINE = " + ".join(f"{w} * substring(v, {i + 1}, 1)::INT" for i, w in enumerate((1, 4, 3, 7, 5, 8, 6, 9, 10)))
+
+
+def contacts(src: str) -> str:
+    """CTE contacts(register_id, row_id, kind, value): lookaround is said by what stands before and behind; texts are padded."""
+    digits = lambda e: f"regexp_replace({e}, '[^0-9]', '', 'g')"
+    each = lambda p, g=1: f"regexp_extract_all(t, {q(p)}, {g})"
+    rest = digits("v") + "[3:]"
+    return f"""
+padded AS (SELECT register_id, row_id, ' ' || text || ' ' AS t FROM {src} WHERE text IS NOT NULL),
+masked AS (SELECT register_id, row_id, regexp_replace(t, {q(_TFN.replace("(" + chr(92) + "d(?:", "(?:" + chr(92) + "d(?:").replace(_TFN_END, ""))}, chr(1), 'g') AS t FROM padded),
+contacts AS (
+ SELECT register_id, row_id, 'email' AS kind, lower(v) AS value FROM (SELECT *, unnest({each(_EMAIL, 0)}) AS v FROM padded)
+ UNION ALL SELECT register_id, row_id, 'phone', CASE WHEN starts_with(v, '+61') THEN CASE WHEN starts_with({rest}, '0') THEN {rest} ELSE '0' || {rest} END ELSE {digits('v')} END
+   FROM (SELECT *, unnest({each('(?:^|[^0-9])(' + _PHONE + ')(?:[^0-9]|$)')}) AS v FROM padded)
+ UNION ALL SELECT register_id, row_id, 'tfn', {digits('v')} FROM (SELECT *, unnest({each(_TFN)}) AS v FROM padded)
+ UNION ALL SELECT register_id, row_id, 'tfn', v FROM (SELECT register_id, row_id, {digits('v')} AS v FROM (SELECT *, unnest({each(_BARE)}) AS v FROM masked)) WHERE ({_NINE}) % 11 = 0)"""
+
+
 _FLAGGED = "(SELECT register_id FROM pii_flagged)"
 _SUBSET = f"subset AS (SELECT * FROM once WHERE register_id IS NULL OR register_id NOT IN {_FLAGGED})"
 _FIRST_TITLE = "t AS (SELECT * FROM titles QUALIFY row_number() OVER (PARTITION BY id ORDER BY name NULLS FIRST, collection NULLS FIRST, year NULLS FIRST, number NULLS FIRST, status NULLS FIRST, isPrincipal NULLS FIRST, isInForce NULLS FIRST) = 1)"
@@ -135,7 +164,7 @@ ORACLE = {
     "number_histograms": f"WITH {RECORDS} {histogram('records', ['topic', 'kind', 'collection'])}",
     "top_per_topic": f"WITH {RECORDS}, k AS (SELECT topic, row_id, pos, row_number() OVER w AS rank, greatest(count(*) OVER (PARTITION BY topic) - 40, 0) AS remainder FROM records WHERE part = 0 WINDOW w AS (PARTITION BY topic ORDER BY act NULLS FIRST, coalesce(section, ''), row_id, pos)) SELECT * FROM k WHERE rank <= 40",
     "person_rows": f"WITH {ONCE} {persons('once', 3)}",
-    "person_titles": f"WITH {ONCE}, hot AS ({persons('once', 3)}), tot AS (SELECT register_id, count(*) AS rows_total FROM once GROUP BY 1) SELECT register_id, any_value(rows_total) AS rows_total, count(*) AS rows_flagged, sum(names)::BIGINT AS names_est, sum(words)::BIGINT AS words, string_agg(row_id, '|' ORDER BY row_id) AS row_ids FROM hot JOIN tot USING (register_id) GROUP BY 1",
+    "person_titles": f"WITH {ONCE}, hot AS ({persons('once', 3)}), tot AS (SELECT register_id, count(*) AS rows_total FROM once GROUP BY 1) SELECT register_id, any_value(rows_total) AS rows_total, count(*) AS rows_flagged, sum(names)::BIGINT AS names_est, sum(words)::BIGINT AS words FROM hot JOIN tot USING (register_id) GROUP BY 1",
     "sparse_person_rows": f"WITH {ONCE}, {_SUBSET} {persons('subset', 1)}",
     "check_digits": f"SELECT c_custkey, ({_WEIGHTED}) % 11 = 0 AS plausible FROM customer",
     "pii_summary": "SELECT count(*) AS titles, (round_even(coalesce(sum(names_est), 0) / 50.0, 0) * 50)::BIGINT AS names FROM pii_flagged",
@@ -147,13 +176,8 @@ ORACLE = {
     "merged_patches": f"WITH {_FIRST_TITLE} SELECT id, name, CASE WHEN id IN {_FLAGGED} THEN 'withheld' ELSE status END AS status, CASE WHEN id IN {_FLAGGED} THEN NULL ELSE number END AS number FROM t",
     "looked_up_names": f"WITH {_FIRST_TITLE} SELECT f.register_id, f.rows_flagged, coalesce(t.name, '?') AS title_name, t.collection AS title_collection FROM pii_flagged f LEFT JOIN t ON t.id = f.register_id",
     "inventory_diff": "SELECT coalesce(e, p) AS register_id, CASE WHEN p IS NULL THEN 'missing' WHEN e IS NULL THEN 'extra' ELSE 'both' END AS state FROM (SELECT DISTINCT id AS e FROM titles WHERE isInForce AND id IS NOT NULL) FULL JOIN (SELECT DISTINCT register_id AS p FROM sections WHERE register_id IS NOT NULL) ON e = p",
-    "removed_lines": "SELECT s_suppkey, s_name || ' of ' || n_name AS line FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE NOT EXISTS (SELECT 1 FROM nation x WHERE x.n_nationkey % 5 = 1 AND contains(s_name || ' of ' || nation.n_name, x.n_name))",
-    "lookup_states": """
-WITH st AS (SELECT register_id, retrieved, TRY_CAST(nullif(regexp_extract(compilation_number, '(\\d+)', 1), '') AS BIGINT) AS n, compilation_date AS cd, epub FROM sources
-            WHERE register_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY register_id, retrieved ORDER BY loaded_at DESC NULLS LAST) = 1),
-a AS (SELECT * FROM st WHERE retrieved = (SELECT min(retrieved) FROM sources)), b AS (SELECT * FROM st WHERE retrieved = (SELECT max(retrieved) FROM sources))
-SELECT a.register_id, CASE WHEN b.register_id IS NULL THEN 'gone' WHEN a.n IS NOT DISTINCT FROM b.n AND a.cd IS NOT DISTINCT FROM b.cd THEN 'unchanged' WHEN b.epub IS NULL THEN 'no-document' ELSE 'superseded' END AS state
-FROM a LEFT JOIN b USING (register_id)""",
+    "removed_lines": f"WITH {ONCE}, l AS (SELECT row_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM (SELECT row_id, string_split(text, chr(10)) AS ls FROM once)) SELECT row_id, pos, line FROM l WHERE NOT EXISTS (SELECT 1 FROM pii_flagged f WHERE f.name <> '' AND contains(l.line, f.name))",
+    "contact_fingerprints": f"WITH {ONCE}, {contacts('once')} SELECT register_id, row_id, kind, sha256(value) AS sha256, count(*) AS n FROM contacts GROUP BY ALL",
     "section_labels": rf"""WITH {ONCE}, h AS (SELECT row_id, concat_ws(' ', CASE WHEN section IS NOT NULL THEN {_LABEL} END, coalesce(heading, '')) AS head FROM once),
 x AS (SELECT row_id, regexp_extract(head, '([0-9]{{1,3}}[A-Z]{{0,4}})\s*\x{{2011}}\s*([0-9]{{1,4}}[A-Z]{{0,8}})', ['a', 'b']) AS d, regexp_extract(head, '^\s*([0-9]{{1,4}}[A-Z]{{0,8}})([.\s\x{{00A0}}\x{{2011}}]|$)', 1) AS p FROM h)
 SELECT row_id, CASE WHEN d.a <> '' THEN d.a || '-' || d.b WHEN p <> '' THEN p END AS label FROM x""",

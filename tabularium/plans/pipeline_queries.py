@@ -104,16 +104,6 @@ def observation_violations(spark, d):
     return contract.observation_violations(_observations(spark, d), _last_snapshot(spark, d), complete=True)
 
 
-def subset_checks(spark, d):
-    """All checks of the subset without flagged titles, against counts announced beforehand."""
-    flagged = table(spark, d, "pii_flagged")
-    s = relational.without(sections(spark, d, ["section", "kind", "text", *[c for c in _BASE if c != "section"]]), "register_id", flagged, "register_id")
-    removed = flagged.select("register_id", "name")
-    titles = s.select("register_id").distinct().select("register_id", F.lit(None).cast("string").alias("epub"))
-    allow = spark.createDataFrame([], "kind string, sha256 string, register_id string")
-    return verify.checks(s, titles, number_records(s), removed, allow, rollup.corpus_rollup(s))
-
-
 def stream_event_windows(spark, d):
     """Events per day and type, counted by a stream that reads the table once."""
     schema = table(spark, d, "events").schema
@@ -133,7 +123,7 @@ def stream_event_windows(spark, d):
 
 QUERIES = {
     f.__name__: f
-    for f in (block_scan, section_rows, table_chunk_rows, baseline_violations, baseline_rows, observation_violations, subset_checks, stream_event_windows)
+    for f in (block_scan, section_rows, table_chunk_rows, baseline_violations, baseline_rows, observation_violations, stream_event_windows)
 }
 
 _ONCE = "once AS (SELECT * FROM sections QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY loaded_at DESC NULLS LAST) = 1)"

@@ -100,7 +100,16 @@ def test_relational(spark):
     assert {(r.id, r.state) for r in relational.inventory_diff(a, p.union(spark.createDataFrame([("z", None, None)], p.schema)), "id").collect()} == {("x", "both"), ("y", "missing"), ("z", "extra")}
     assert {r.fresh for r in relational.lookup(a.select("id"), "id", p, "id", ["fresh"], {"fresh": False}).collect()} == {True, False}
     lines = spark.createDataFrame([("NATION_10 x",), ("a.c",), ("abc",), (None,)], "line string")
-    assert {r.line for r in relational.lines_without(lines, "line", ["NATION_1", "a.c", ""]).collect()} == {"abc", None}
+    needles = spark.createDataFrame([("NATION_1",), ("a.c",), ("",), (None,), ("NATION_1",), ("longer than the anchor is",)], "n string")
+    long = lines.union(spark.createDataFrame([("it is longer than the anchor is.",), ("longer than the anchor was",), ("",)], "line string"))
+    for sent in (100, 1):
+        assert {r.line for r in relational.lines_without(long, "line", needles, sent).collect()} == {"abc", None, "", "longer than the anchor was"}
+        assert {r.line for r in relational.lines_with(long, "line", needles, sent).collect()} == {"NATION_10 x", "a.c", "it is longer than the anchor is."}
+        assert relational.lines_with(long.limit(0), "line", needles, sent).count() == 0
+    assert relational.lines_without(long, "line", needles.limit(0)).count() == long.count()
+    with pytest.raises(relational.GateError) as e:
+        relational.require_empty(spark.createDataFrame([("C1", "secret@mail.example")], "id string, v string"), "left", ["id"])
+    assert "C1" in str(e.value) and "secret" not in str(e.value)
     scans = [F.col("n") == 2, F.col("n") > 0, F.lit(None).cast("boolean")]
     assert {(r.id, r.n, r.scan) for r in relational.first_scan(a, scans).collect()} == {("x", 1, 1), ("x", 2, 0), (None, 1, 1), ("y", 5, 1)}
     assert sorted(tuple(r) for r in relational.scan_counts(a, scans).collect()) == [(0, 1, 1), (1, 4, 3), (2, 0, 0)]
@@ -169,7 +178,7 @@ def test_privacy_and_rollup(spark):
     assert [(r.row_id, r.names, r.numbers) for r in hot.collect()] == [("r0", 3, 3)]
     assert privacy.person_rows(s, 1, 1).count() == 2
     (r,) = privacy.title_rollup(hot, s).collect()
-    assert (r.rows_total, r.rows_flagged, r.names_est, r.row_ids) == (4, 1, 3, ["r0"])
+    assert (r.rows_total, r.rows_flagged, r.names_est, r.words) == (4, 1, 3, 10)
     c = privacy.contact_fingerprints(s, ["register_id"], "text")
     allow = c.select("kind", "sha256", "register_id")
     assert c.count() == 1 and privacy.unapproved(c, allow).count() == 0 and privacy.unapproved(c, allow.limit(0)).count() == 1

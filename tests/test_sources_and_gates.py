@@ -10,9 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabularium import schemas
-from tabularium.operators import contract, verify
+from tabularium.operators import contract, publication, verify
 from tabularium.operators.relational import GateError
-from tabularium.operators.rollup import corpus_rollup
 from tabularium.sources import files, publish
 from tabularium.sources.paged import read_paged
 from tabularium.streaming.ingest import fresh_rows, publish_batches, stream_table, windowed_counts
@@ -186,48 +185,90 @@ def test_observations(spark):
     assert "evidence_id" not in contract.observation(good).columns and contract.observation(good, v2=True).count() == 2
 
 
-SECT = "register_id string, row_id string, collection string, section string, kind string, text string"
+SECT = "register_id string, row_id string, collection string, section string, kind string, text string, folder_id string, bad_line string"
+TITLE = "register_id string, collection string, epub string, markdown string, sections_jsonl string, endnotes string, name string, keywords_in_name array<string>, granularity string, version_is_current boolean"
+
+
+def title(rid, collection="Act", epub=None, endnotes=None):
+    return (rid, collection, epub, f"markdown/{rid}/{rid}.md", f"markdown/{rid}/sections.jsonl", endnotes, "A tax", ["Tax"], "section", True)
+
+
+def section(rid, n, text, collection="Act", label="1", kind="section", folder=None, bad=None):
+    return (rid, f"{rid}:{n:04d}:{label or '-'}", collection, label, kind, text, folder or rid, bad)
+
+
+def files(rid):
+    return [(f"markdown/{rid}", "dir", None), (f"markdown/{rid}/{rid}.md", "file", 1), (f"markdown/{rid}/sections.jsonl", "file", 1)]
 
 
 def parts(spark):
-    s = [(RID, f"{RID}:0001:1", "Act", "1", "section", "The rate is 5%."), (RID2, f"{RID2}:0001:-", None, None, "", "Nothing here.")]
+    """A version that holds: two titles, three rows, one number, one title left out."""
+    titles = spark.createDataFrame([title(RID), title(RID2, "NotifiableInstrument")], TITLE)
+    rows = spark.createDataFrame([section(RID, 1, "The rate is 5%."), section(RID2, 1, "Nothing here.", None, None, ""), section(RID2, 2, "More", None, None, "container")], SECT)
+    counts = publication.counts_block(titles, rows, titles.limit(0))
+    said = [
+        ("INDEX.md", "2 titles (1 Acts, 1 instruments), 3 retrieval rows, 7 words."), ("README.md", "1 Acts and 1 legislative and notifiable instruments"),
+        ("README.md", "2 in-force principal titles"), ("README.md", "3 retrieval rows, 7 words."), ("REMOVED.md", "| [F1999N00001](x) |"),
+        ("rates/RATES.md", "1 entries across 1 titles."), ("rates/RATES.md", "The rate is 5%."),
+    ]
     return {
-        "sections": spark.createDataFrame(s, SECT),
-        "titles": spark.createDataFrame([(RID, None), (RID2, None)], "register_id string, epub string"),
+        "titles": titles,
+        "sections": rows,
         "numbers": spark.createDataFrame([(RID, "The rate is 5%.")], "register_id string, content string"),
         "removed": spark.createDataFrame([("F1999N00001", "List of Agents")], "register_id string, name string"),
         "allowlist": spark.createDataFrame([], "kind string, sha256 string, register_id string"),
-        "declared": corpus_rollup(spark.createDataFrame(s, SECT)),
-        "declared_kinds": spark.createDataFrame([("section", 1), ("unnumbered", 1)], "kind string, n bigint"),
+        "counts": spark.createDataFrame(counts.collect(), counts.schema),
+        "lines": spark.createDataFrame(said, "path string, line string"),
+        "files": spark.createDataFrame([*files(RID), *files(RID2), ("INDEX.md", "file", 1)], "path string, kind string, bytes bigint"),
     }
 
 
 def failed(p):
-    return {r.label for r in verify.checks(**p).where("NOT ok").collect()}
-
-
-def plus(spark, p, table, *rows):
-    return p | {table: p[table].union(spark.createDataFrame(list(rows), p[table].schema))}
-
-
-def test_checks_hold(spark):
-    assert failed(parts(spark)) == set()
-
-
-X1 = f"{RID}:0002:2"
-
-
-@pytest.mark.parametrize("table,row,label", [
-    ("titles", ("F2000L00009", None), "every title has rows"), ("sections", ("F2000L00009", "F2000L00009:0001:-", None, None, "", "x"), "no rows of other titles"),
-    ("titles", ("F1999N00001", None), "no removed title"), ("titles", (RID, None), "titles are unique"), ("sections", (RID, f"{RID}:0001:1", "Act", "1", "section", "x"), "row ids are unique"),
-    ("sections", (RID, X1, "Act", "2", "section", None), "rows are complete"), ("sections", (RID, f"{RID2}:0002:2", "Act", "2", "section", "x"), "row id belongs to its title"),
-    ("sections", (RID, X1, "Act", "2", "section", "a\x01"), "rows have no control characters"), ("sections", (RID, X1, "Act", "2", "section", "Wilma Obermoor 12345678"), "no name beside a registration number"),
-    ("sections", (RID, X1, "Act", "2", "section", "a@b.example"), "no unapproved contacts"), ("sections", (RID, X1, "Act", "2", "section", "x"), "declared counts hold"),
-    ("sections", (RID, X1, "Act", "2", "section", "x"), "declared kinds hold"), ("numbers", ("F2000L00009", "x"), "numbers belong to titles present"), ("numbers", ("F1999N00001", "x"), "no numbers of removed titles"),
-    ("titles", ("F2000L00009", "x.epub"), "no pointers to archives"), ("sections", (RID, X1, "Act", "2", "section", "see List of Agents"), "no removed name in a row"),
-    ("numbers", (RID, "List of Agents"), "no removed name in a number")])
-def test_each_check_finds_its_violation(spark, table, row, label):
-    assert label in failed(plus(spark, parts(spark), table, row))
+    return {r.label for r in verify.checks(verify.Published(**p)).where("NOT ok").collect()}
+
+
+def test_checks_hold_and_take_empty_tables(spark):
+    p = parts(spark)
+    got = verify.checks(verify.Published(**p)).collect()
+    assert len(got) == 36 and all(r.ok and r.detail == "0" for r in got)
+    assert len(verify.checks(verify.Published(**{k: v.limit(0) for k, v in p.items()})).collect()) == 36
+
+
+NEW = "F2000L00009"
+
+
+@pytest.mark.parametrize("table,row,labels", [
+    ("titles", title(NEW), ["every listed title has a directory", "title file inventory matches declared outputs", "sources count: titles", "sources count: acts and instruments", "sources collection counts"]),
+    ("files", (f"markdown/{NEW}", "dir", None), ["no directory beyond what is listed"]),
+    ("files", ("markdown/notes.md", "file", 1), ["no directory beyond what is listed"]),
+    ("files", ("markdown/F1999N00001", "dir", None), ["no removed title present"]),
+    ("files", (f"markdown/{RID}/more", "symlink", None), ["title files stay inside real link-free directories"]),
+    ("files", (f"markdown/{RID}/more.md", "file", 1), ["title file inventory matches declared outputs"]),
+    ("files", ("img/arms.PNG", "file", 1), ["no image files"]),
+    ("sections", section(RID, 2, None, bad="{"), ["every JSONL row parses", "sources count: rows"]),
+    ("sections", section(RID, 2, "x", folder=RID2), ["each JSONL row matches its title directory"]),
+    ("sections", section(RID, 2, "a\x01"), ["all distributed title files are validated UTF-8 text"]),
+    ("sections", section(RID, 2, "Wilma Obermoor 12345678"), ["no title file names private individuals", "no row names private individuals", "sources count: words", "sources count: section rows"]),
+    ("sections", section(RID, 2, "a@b.example"), ["no unapproved contact identifiers"]),
+    ("sections", section(RID, 2, "x", label=None, kind="container"), ["sources count: tracked row kinds"]),
+    ("sections", section(RID, 1, "x"), ["row ids are unique"]),
+    ("sections", (RID, f"{RID2}:0009:-", "Act", None, "", "x", RID, None), ["row id belongs to its title"]),
+    ("titles", title(RID), ["titles are unique"]),
+    ("titles", title(NEW, epub="x.epub"), ["title metadata does not point to excluded EPUBs"]),
+    ("counts", ("epub_bytes", 5), ["sources declares no distributed EPUB bytes"]),
+    ("counts", ("titles", 900), ["INDEX headline matches generated counts", "README states the real title count"]),
+    ("counts", ("acts", 900), ["README headline matches generated counts"]),
+    ("lines", ("INDEX.md", "| [x](markdown/F1999N00001) |"), ["INDEX links no removed title"]),
+    ("lines", ("README.md", "see epub/<register_id>.epub"), ["README does not promise EPUB files"]),
+    ("lines", ("README.md", "three titles name people"), ["README does not claim rows naming people"]),
+    ("removed", ("F1999N00002", "Other"), ["REMOVED.md lists every exclusion"]),
+    ("numbers", (None, "x"), ["every rates JSONL row parses", "RATES headline matches filtered JSONL"]),
+    ("numbers", ("F1999N00001", "x"), ["no rates entry cites a removed title", "every rates entry cites a present title"]),
+    ("lines", ("rates/RATES.md", "as in List of Agents"), ["RATES contains no removed-title name"])])
+def test_each_check_finds_its_violation(spark, table, row, labels):
+    p = parts(spark)
+    p |= {table: p[table].union(spark.createDataFrame([row], p[table].schema))}
+    assert set(labels) <= failed(p)
 
 
 def test_streams(spark, tmp_path):
