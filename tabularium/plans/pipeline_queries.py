@@ -8,12 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.operators import blocks, contract, relational, rollup, verify
+from tabularium.operators import blocks, contract
 from tabularium.operators import sections as chunking
-from tabularium.operators.numbers import _BASE, number_records
 from tabularium.plans.corpus_queries import sections
 from tabularium.session import shared_dir
-from tabularium.sources.tables import table
+from tabularium.sources.tables import spread, table
 from tabularium.streaming.ingest import windowed_counts
 
 
@@ -22,47 +21,38 @@ def _escaped(c) -> F.Column:
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    """Every row as an XHTML document of its own: its label and heading, then its paragraphs."""
+    """Every row as an XHTML document of its own: its label and heading (or its title's name, if it has neither), then its paragraphs."""
     s = sections(spark, d, ["act", "section", "heading", "text"])
-    head = _escaped(F.concat_ws(" ", "section", "heading"))
+    head = F.concat_ws(" ", "section", "heading")
+    head = _escaped(F.when(F.trim(head) == "", F.col("act")).otherwise(head))
     body = F.replace(_escaped(F.coalesce("text", F.lit(""))), F.lit("\n\n"), F.lit('</p><p class="subsection">'))
     html = F.concat(F.lit('<p class="ActHead5"><span class="CharSectno">'), head, F.lit('</span></p><p class="subsection">'), body, F.lit("</p>"))
-    return s.select("row_id", "act", html.alias("html"))
+    return spread(s.select("row_id", "act", html.alias("html")))
 
 
 def block_scan(spark, d):
+    """The blocks of every document and the characters of its paragraphs."""
     b = blocks.exploded(blocks.read_html(_documents(spark, d), "row_id", "html"), "row_id")
-    return b.groupBy("row_id").agg(F.count("*").alias("blocks"), F.count_if(F.col("k") == "p").alias("paragraphs"), F.count_if("sectno").alias("headings"))
+    chars = F.coalesce(F.sum(F.when(F.col("k") == "p", F.char_length("text"))), F.lit(0))
+    return b.groupBy("row_id").agg(F.count("*").alias("blocks"), F.count_if(F.col("k") == "p").alias("paragraphs"), F.count_if("sectno").alias("headings"), chars.alias("chars"))
 
 
 def section_rows(spark, d):
     """Rows made anew from the documents: the label read from the heading, and the text."""
-    docs = _documents(spark, d)
-    # blocks keep the document's key; its name is joined on by the same key and partitioning
-    read = blocks.read_html(docs.select(F.struct("row_id", "act").alias("key"), "html"), "key", "html")
-    made = chunking.section_documents(read.select(F.col("key.row_id").alias("row_id"), F.col("key.act").alias("act"), "blocks"), "row_id", "act")
+    made = chunking.section_documents(_documents(spark, d), "row_id", "act", "html")
     return made.select("row_id", "granularity", "error", F.explode("rows").alias("r")).select("row_id", "granularity", "error", "r.ordinal", "r.section", "r.kind", F.char_length("r.text").alias("chars"))
 
 
-def table_chunk_rows(spark, d):
-    """Chunks of documents made of one table repeated under three captions."""
-    s = sections(spark, d, ["act", "kind", "text"]).where((F.col("kind") == "table_block") & F.col("text").isNotNull())
-    html = F.lit(None).cast("string")
-    body = F.concat_ws("\n\n", F.concat(F.lit("# "), "act"), *[F.concat(F.lit(f"{x}. BASIN\n"), "text") for x in "ABC"])
-    docs = s.select("row_id", "act", body.alias("body"), html.alias("html"))
-
-    def work(batches):
-        import pyarrow as pa
+VOLUME = 50  # rows of a title in one document
 
-        for b in batches:
-            rows = [(i, n, r.heading, r.kind, len(r.text)) for i, (name, t) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())) for n, r in enumerate(chunking.table_chunks(t, name or ""), 1)]
-            at, n, heading, kind, chars = zip(*rows) if rows else ((),) * 5
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(at, pa.int64())), pa.array(n, pa.int64()), pa.array(heading, pa.string()), pa.array(kind, pa.string()), pa.array(chars, pa.int64())],
-                names=["row_id", "n", "heading", "kind", "chars"],
-            )
 
-    return docs.select("row_id", "act", "body").mapInArrow(work, "row_id string, n bigint, heading string, kind string, chars bigint")
+def table_chunk_rows(spark, d):
+    """Chunks of the documents without sections, put together again from their rows in volumes of fifty."""
+    s = sections(spark, d, ["register_id", "act", "granularity", "text"]).where("granularity <> 'section'")
+    volume = F.floor(F.regexp_extract("row_id", r"^[^:]*:(\d+)", 1).cast("int") / VOLUME).cast("int")
+    docs = s.groupBy("register_id", volume.alias("volume")).agg(F.max("act").alias("act"), F.array_sort(F.collect_list(F.struct("row_id", "text"))).alias("r"))
+    docs = docs.select("register_id", "volume", "act", F.array_join(F.transform("r", lambda x: x["text"]), "\n\n").alias("body"))
+    return chunking.table_chunks(docs, ["register_id", "volume"], "act", "body")
 
 
 def _last_snapshot(spark, d):
@@ -142,12 +132,40 @@ _RULES = {
 }
 _WS = r"[\s\p{Z}\x{0085}\x{001C}-\x{001F}]"
 _PARAS = f"list_filter(string_split(coalesce(text, ''), chr(10) || chr(10)), lambda z: regexp_replace(z, '{_WS}+', '', 'g') <> '')"
-_HEAD = f"(regexp_replace(concat_ws(' ', section, heading), '{_WS}+', '', 'g') <> '')::INT"
+_ANY = f"regexp_replace(concat_ws(' ', section, heading), '{_WS}+', '', 'g') <> ''"
+_TITLE = "CASE WHEN trim(concat_ws(' ', section, heading)) = '' THEN act ELSE concat_ws(' ', section, heading) END"
+_NORM = lambda e: f"regexp_replace(regexp_replace(regexp_replace(replace({e}, chr(160), ' '), '[ \\t]+', ' ', 'g'), '^{_WS}+', ''), '{_WS}+$', '')"
+_HEAD = f"({_NORM(_TITLE)} <> '')::INT"
+_CHARS = f"coalesce(list_sum(list_transform({_PARAS}, lambda z: length({_NORM('z')}))), 0)::BIGINT"
+_TABLES = f"""
+doc AS (SELECT register_id, regexp_extract(row_id, '^[^:]*:(\\d+)', 1)::INT // 50 AS volume, max(act) AS act, string_agg(text, chr(10) || chr(10) ORDER BY row_id) AS body FROM once WHERE granularity <> 'section' GROUP BY 1, 2),
+l AS (SELECT register_id, volume, act, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM (SELECT *, string_split(body, chr(10)) AS ls FROM doc)),
+m AS (SELECT *, starts_with(line, '|') AS tab, regexp_replace(regexp_replace(line, '^{_WS}+', ''), '{_WS}+$', '') AS said,
+  coalesce(lag(starts_with(line, '|')) OVER (PARTITION BY register_id, volume ORDER BY pos) <> starts_with(line, '|'), true)::INT AS fresh FROM l),
+i AS (SELECT *, sum(fresh) OVER (PARTITION BY register_id, volume ORDER BY pos) AS island FROM m),
+k AS (SELECT * FROM i WHERE tab OR (said <> '' AND NOT starts_with(said, '#'))),
+w AS (SELECT *, len(regexp_extract_all(line, '[^' || chr(32) || '\\s\\p{{Z}}]+')) AS words, tab AND count(*) OVER (PARTITION BY register_id, volume, island) >= 3 AS big FROM k),
+t AS (SELECT register_id, volume, count(DISTINCT island) FILTER (WHERE big) AS n, coalesce(sum(words) FILTER (WHERE big), 0) AS tw, coalesce(sum(words) FILTER (WHERE NOT tab), 0) AS pw FROM w GROUP BY 1, 2),
+o AS (SELECT register_id, volume, island, row_number() OVER (PARTITION BY register_id, volume ORDER BY island) AS nth FROM (SELECT DISTINCT register_id, volume, island FROM w WHERE big)),
+g AS (SELECT w.*, (SELECT count(*) FROM o WHERE o.register_id = w.register_id AND o.volume = w.volume AND o.island < w.island) AS g FROM w),
+c AS (SELECT register_id, volume, act, g, list(CASE WHEN tab THEN line ELSE said END ORDER BY pos) FILTER (WHERE NOT big) AS lead, list(line ORDER BY pos) FILTER (WHERE big) AS tab, sum(words) FILTER (WHERE NOT big) AS lw,
+  arg_max(words, pos) FILTER (WHERE NOT big) AS last_words FROM g GROUP BY 1, 2, 3, 4),
+x AS (SELECT c.*, t.n AS total, CASE WHEN length(lead[-1]) <= 80 THEN lead[-1] END AS caption FROM c JOIN t USING (register_id, volume) WHERE t.n >= 3 AND tw >= 2 * pw),
+y AS (SELECT *, coalesce(lw, 0) - CASE WHEN caption IS NOT NULL THEN last_words ELSE 0 END > 120 AS long FROM x),
+z AS (SELECT register_id, volume, g, 0 AS part, act || ' — opening provisions' AS heading, 'text_block' AS kind, CASE WHEN caption IS NULL THEN lead ELSE lead[:-2] END AS lines FROM y WHERE tab IS NOT NULL AND long
+  UNION ALL SELECT register_id, volume, g, 1, act || ' — ' || coalesce(caption, 'table ' || (g + 1) || ' of ' || total), 'table_block', list_concat(CASE WHEN NOT long THEN coalesce(lead, []) WHEN caption IS NULL THEN [] ELSE [caption] END, tab) FROM y WHERE tab IS NOT NULL
+  UNION ALL SELECT register_id, volume, g, 2, act || ' — closing provisions', 'text_block', lead FROM y WHERE tab IS NULL)"""
 _OBS = """obs AS (SELECT register_id, k, k % 5 AS s, CASE WHEN k % 5 = 1 AND k % 3 = 0 THEN 1 ELSE 0 END AS bad_date,
  (k % 5 = 2 OR k % 7 = 0) AS has_start, (k % 5 = 4 AND k % 4 <> 0) AS has_error FROM (SELECT register_id, right(register_id, 2)::INT AS k FROM last))"""
 
 ORACLE = {
-    "block_scan": f"WITH {_ONCE} SELECT row_id, 1 + {_HEAD} + len({_PARAS}) AS blocks, {_HEAD} + len({_PARAS}) AS paragraphs, {_HEAD} AS headings FROM once",
+    "block_scan": f"WITH {_ONCE} SELECT row_id, 1 + {_HEAD} + len({_PARAS}) AS blocks, {_HEAD} + len({_PARAS}) AS paragraphs, {_HEAD} AS headings, length({_NORM(_TITLE)}) + {_CHARS} AS chars FROM once",
+    "section_rows": f"""WITH {_ONCE}, h AS (SELECT row_id, act, {_NORM(_TITLE)} AS head, {_CHARS} AS chars, len({_PARAS}) AS paras FROM once),
+n AS (SELECT *, regexp_extract(head, '^(\\p{{Nd}}{{1,3}}[A-Z]{{0,4}})[\\s\\p{{Z}}]*\\x{{2011}}[\\s\\p{{Z}}]*(\\p{{Nd}}{{1,4}}[A-Z]{{0,8}})', ['a', 'b']) AS d, regexp_extract(head, '^(\\p{{Nd}}{{1,4}}[A-Z]{{0,8}})([.\\s\\p{{Z}}\\x{{2011}}]|$)', 1) AS p FROM h),
+s AS (SELECT *, CASE WHEN d.a <> '' THEN d.a || '-' || d.b WHEN p <> '' THEN p END AS section FROM n)
+SELECT row_id, CASE WHEN paras > 0 THEN 'section' ELSE 'whole_act' END AS granularity, NULL AS error, 1 AS ordinal, CASE WHEN paras > 0 THEN section END AS section,
+ CASE WHEN paras = 0 THEN 'whole_act' WHEN section IS NULL THEN 'unnumbered' ELSE 'section' END AS kind, CASE WHEN paras > 0 THEN chars + 2 * (paras - 1) ELSE length('# ' || act || chr(10) || chr(10) || '##### ' || head) END AS chars FROM s""",
+    "table_chunk_rows": f"WITH {_ONCE}, {_TABLES} SELECT register_id, volume, row_number() OVER (PARTITION BY register_id, volume ORDER BY g, part) - 1 AS n, heading, kind, regexp_replace(regexp_replace(array_to_string(lines, chr(10)), '^{_WS}+', ''), '{_WS}+$', '') AS text, 0 AS lost FROM z",
     "baseline_rows": f"WITH {_LAST} SELECT * FROM last",
     "baseline_violations": f"WITH {_LAST} " + " UNION ALL ".join(f"SELECT register_id, '{k}' AS rule FROM last WHERE NOT ({v})" for k, v in _RULES.items()),
     "observation_violations": f"""WITH {_LAST}, {_OBS}
