@@ -1,7 +1,8 @@
 """Order-dependent operators: ordinals, running counts, carry-forward, look-ahead, islands.
 
-Order is always an explicit column. All windows partition by a title or
-document, whose rows are bounded; a global order is numbered in two levels.
+Order is always an explicit column. Windows partition by a document, whose rows
+lie in one task; groups that may grow without bound (the rows of a title, a
+global order) are numbered in two levels over ranges.
 """
 
 from __future__ import annotations
@@ -17,9 +18,27 @@ def ordinals(df: DataFrame, by: str | list[str], order: list, name: str = "ordin
     return df.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy(*order)).cast("bigint"))
 
 
-def row_ids(df: DataFrame, by: str, order: list, label: str, name: str = "row_id") -> DataFrame:
+def ordinals_in_ranges(df: DataFrame, by: str, order: list[str], name: str = "ordinal") -> DataFrame:
+    """ordinals() for groups of any size: a group with a third of all rows is spread over many tasks.
+
+    Rows are range-partitioned by group and order, placed within their range
+    and written once; a group's place in a range plus its rows in the ranges
+    before gives the ordinal. Ties are numbered as they fall. Null is a group.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = df.repartitionByRange(n, by, *order).sortWithinPartitions(by, *order).withColumn("_m", F.monotonically_increasing_id())
+    placed = materialise(sorted_.withColumn("_p", F.shiftright("_m", 33).cast("int")).withColumn("_k", F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))).drop("_m"))
+    runs = placed.groupBy(F.col(by).alias("_g"), F.col("_p").alias("_q")).agg(F.min("_k").alias("_first"), F.count("*").alias("_c"))
+    # one row per group and range by now
+    w = Window.partitionBy("_g").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+    joined = placed.join(runs, F.col(by).eqNullSafe(F.col("_g")) & (F.col("_p") == F.col("_q")))
+    return joined.select(*df.columns, (F.col("_k") - F.col("_first") + F.col("_before") + 1).cast("bigint").alias(name))
+
+
+def row_ids(df: DataFrame, by: str, order: list[str], label: str, name: str = "row_id") -> DataFrame:
     """`id:%04d:label` with the row's ordinal; a null or empty label is `-`."""
-    numbered = ordinals(df, by, order, "_n")
+    numbered = ordinals_in_ranges(df, by, order, "_n")
     tag = F.when(F.coalesce(F.col(label), F.lit("")) == "", "-").otherwise(F.col(label))
     return numbered.withColumn(name, F.format_string("%s:%04d:%s", F.col(by), F.col("_n"), tag)).drop("_n")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tabularium.operators import blocks, contract
 from tabularium.operators import sections as chunking
+from tabularium.operators.snapshots import Calendar
 from tabularium.plans.corpus_queries import sections
 from tabularium.session import shared_dir
 from tabularium.sources.tables import spread, table
-from tabularium.streaming.ingest import windowed_counts
+from tabularium.streaming.ingest import latest_updates, publish_updates, windowed_counts
 
 
 def _escaped(c) -> F.Column:
@@ -71,27 +71,45 @@ def baseline_rows(spark, d):
     return contract.baseline(_last_snapshot(spark, d))
 
 
+def _ends(spark, d):
+    """(baseline, observed): every title's row in the snapshot before the last, and in the last."""
+    s = table(spark, d, "sources")
+    cols = ["name", "collection", "compilation_number", "compilation_date", "version_is_current", "current_version_start", "epub", "source_url", "register_page", "loaded_at"]
+    one = s.where("register_id IS NOT NULL AND retrieved IS NOT NULL").groupBy("register_id", "retrieved").agg(F.max(F.struct("loaded_at", *[c for c in cols if c != "loaded_at"])).alias("r"))
+    rows = one.select("register_id", "retrieved", *[F.col(f"r.{c}").alias(c) for c in cols])
+    dates = Calendar(s, "retrieved")
+    placed = dates.join(rows)
+    last = dates.dates.where(F.col("_next").isNull()).select(F.col("_i").alias("_last"))
+    return placed.join(last, F.col("_i") == F.col("_last") - 1, "left_semi"), placed.where(F.col("_next").isNull())
+
+
 def _observations(spark, d):
-    """What a check might report of each title: a state by its number, with a field that some states do not allow."""
-    b = _last_snapshot(spark, d)
-    k = F.substring("register_id", -2, 2).cast("int")
-    state = F.element_at(F.array(*[F.lit(s) for s in contract.REQUIRED]), k % 5 + 1)
-    return b.select(
+    """What a check of the last snapshot reports of the titles of the one before, with the fields that the snapshot has for it."""
+    base, new = _ends(spark, d)
+    n = new.select(F.col("register_id").alias("_r"), *[F.col(c).alias(f"n_{c}") for c in ("compilation_number", "compilation_date", "version_is_current", "current_version_start", "epub", "loaded_at")])
+    j = base.join(n, F.col("register_id") == F.col("_r"), "left")
+    gone = F.col("_r").isNull()
+    failed = F.col("n_compilation_number").isNull() & F.col("n_compilation_date").isNull()
+    same = F.col("n_compilation_number").eqNullSafe(F.col("compilation_number")) & F.col("n_compilation_date").eqNullSafe(F.col("compilation_date"))
+    state = F.when(gone, "NO_LONGER_IN_FORCE").when(failed, "LOOKUP_FAILED").when(~F.col("n_version_is_current"), "CURRENT_NO_PUBLISHED_COMPILATION").when(same, "UNCHANGED").otherwise("SUPERSEDED")
+    text = lambda c: F.col(c).cast("string")
+    return j.withColumn("state", state).select(
         "register_id",
         "collection",
-        state.alias("state"),
-        F.when(k % 5 == 1, "7").alias("observed_compilation_number"),
-        F.when(k % 5 == 1, F.when(k % 3 == 0, "2026-13-01").otherwise("2026-02-01")).alias("observed_compilation_date"),
-        F.when(k % 5 == 1, "D1").alias("observed_register_document_id"),
-        F.when((k % 5 == 2) | (k % 7 == 0), "2026-02-01").alias("current_version_start"),
-        F.lit("https://register.example/x").alias("evidence_url"),
-        F.when(k % 11 == 0, "2026-02-01T00:00:00").otherwise("2026-02-01T00:00:00Z").alias("checked_at"),
-        F.when((k % 5 == 4) & (k % 4 != 0), "timeout").alias("error_category"),
-    )
+        "state",
+        F.when(F.col("state") == "SUPERSEDED", F.col("n_compilation_number")).alias("observed_compilation_number"),
+        F.when(F.col("state") == "SUPERSEDED", text("n_compilation_date")).alias("observed_compilation_date"),
+        F.when(F.col("state") == "SUPERSEDED", F.col("n_epub")).alias("observed_register_document_id"),
+        text("n_current_version_start").alias("current_version_start"),
+        F.col("register_page").alias("evidence_url"),
+        F.date_format("n_loaded_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("checked_at"),
+        F.when(F.col("state") == "LOOKUP_FAILED", "no version").alias("error_category"),
+    ), base
 
 
 def observation_violations(spark, d):
-    return contract.observation_violations(_observations(spark, d), _last_snapshot(spark, d), complete=True)
+    seen, base = _observations(spark, d)
+    return contract.observation_violations(seen, base, complete=True)
 
 
 def stream_event_windows(spark, d):
@@ -99,16 +117,9 @@ def stream_event_windows(spark, d):
     schema = table(spark, d, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
     counts = windowed_counts(stream, "ts", "event_type", "1 day", "1 hour")
-    out = os.path.join(shared_dir(spark), f"stream-{uuid.uuid4().hex}")
-    q = (
-        counts.writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, epoch: batch.write.mode("overwrite").parquet(out + "/rows"))
-        .option("checkpointLocation", out + "/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return spark.read.parquet(out + "/rows")
+    out = f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    publish_updates(counts, out + "/rows", out + "/state").awaitTermination()
+    return latest_updates(spark, out + "/rows", ["start", "event_type"])
 
 
 QUERIES = {
@@ -155,8 +166,14 @@ y AS (SELECT *, coalesce(lw, 0) - CASE WHEN caption IS NOT NULL THEN last_words
 z AS (SELECT register_id, volume, g, 0 AS part, act || ' — opening provisions' AS heading, 'text_block' AS kind, CASE WHEN caption IS NULL THEN lead ELSE lead[:-2] END AS lines FROM y WHERE tab IS NOT NULL AND long
   UNION ALL SELECT register_id, volume, g, 1, act || ' — ' || coalesce(caption, 'table ' || (g + 1) || ' of ' || total), 'table_block', list_concat(CASE WHEN NOT long THEN coalesce(lead, []) WHEN caption IS NULL THEN [] ELSE [caption] END, tab) FROM y WHERE tab IS NOT NULL
   UNION ALL SELECT register_id, volume, g, 2, act || ' — closing provisions', 'text_block', lead FROM y WHERE tab IS NULL)"""
-_OBS = """obs AS (SELECT register_id, k, k % 5 AS s, CASE WHEN k % 5 = 1 AND k % 3 = 0 THEN 1 ELSE 0 END AS bad_date,
- (k % 5 = 2 OR k % 7 = 0) AS has_start, (k % 5 = 4 AND k % 4 <> 0) AS has_error FROM (SELECT register_id, right(register_id, 2)::INT AS k FROM last))"""
+_OBS = """st AS (SELECT * FROM sources WHERE register_id IS NOT NULL AND retrieved IS NOT NULL
+ QUALIFY row_number() OVER (PARTITION BY register_id, retrieved ORDER BY loaded_at DESC NULLS LAST) = 1),
+dates AS (SELECT DISTINCT retrieved FROM sources WHERE retrieved IS NOT NULL ORDER BY retrieved DESC LIMIT 2),
+b AS (SELECT * FROM st WHERE retrieved = (SELECT min(retrieved) FROM dates)), n AS (SELECT * FROM st WHERE retrieved = (SELECT max(retrieved) FROM dates)),
+obs AS (SELECT b.register_id, b.collection, b.register_page, n.compilation_number AS number, n.compilation_date AS day, n.epub AS doc, n.current_version_start AS start, n.loaded_at AS seen,
+ CASE WHEN n.register_id IS NULL THEN 'NO_LONGER_IN_FORCE' WHEN n.compilation_number IS NULL AND n.compilation_date IS NULL THEN 'LOOKUP_FAILED' WHEN NOT n.version_is_current THEN 'CURRENT_NO_PUBLISHED_COMPILATION'
+  WHEN n.compilation_number IS NOT DISTINCT FROM b.compilation_number AND n.compilation_date IS NOT DISTINCT FROM b.compilation_date THEN 'UNCHANGED' ELSE 'SUPERSEDED' END AS state
+ FROM b LEFT JOIN n USING (register_id))"""
 
 ORACLE = {
     "block_scan": f"WITH {_ONCE} SELECT row_id, 1 + {_HEAD} + len({_PARAS}) AS blocks, {_HEAD} + len({_PARAS}) AS paragraphs, {_HEAD} AS headings, length({_NORM(_TITLE)}) + {_CHARS} AS chars FROM once",
@@ -168,10 +185,13 @@ SELECT row_id, CASE WHEN paras > 0 THEN 'section' ELSE 'whole_act' END AS granul
     "table_chunk_rows": f"WITH {_ONCE}, {_TABLES} SELECT register_id, volume, row_number() OVER (PARTITION BY register_id, volume ORDER BY g, part) - 1 AS n, heading, kind, regexp_replace(regexp_replace(array_to_string(lines, chr(10)), '^{_WS}+', ''), '{_WS}+$', '') AS text, 0 AS lost FROM z",
     "baseline_rows": f"WITH {_LAST} SELECT * FROM last",
     "baseline_violations": f"WITH {_LAST} " + " UNION ALL ".join(f"SELECT register_id, '{k}' AS rule FROM last WHERE NOT ({v})" for k, v in _RULES.items()),
-    "observation_violations": f"""WITH {_LAST}, {_OBS}
-SELECT register_id, 'observed_compilation_date' AS rule FROM obs WHERE bad_date = 1
-UNION ALL SELECT register_id, 'current_version_start' FROM obs WHERE has_start <> (s = 2)
-UNION ALL SELECT register_id, 'error_category' FROM obs WHERE has_error <> (s = 4)
-UNION ALL SELECT register_id, 'checked_at' FROM obs WHERE k % 11 = 0""",
+    "observation_violations": f"""WITH {_OBS}
+SELECT register_id, 'observed_compilation_number' AS rule FROM obs WHERE state = 'SUPERSEDED' AND coalesce(trim(number), '') = ''
+UNION ALL SELECT register_id, 'observed_compilation_date' FROM obs WHERE state = 'SUPERSEDED' AND day IS NULL
+UNION ALL SELECT register_id, 'observed_register_document_id' FROM obs WHERE state = 'SUPERSEDED' AND coalesce(trim(doc), '') = ''
+UNION ALL SELECT register_id, 'current_version_start' FROM obs WHERE (state = 'CURRENT_NO_PUBLISHED_COMPILATION') <> (start IS NOT NULL)
+UNION ALL SELECT register_id, 'evidence_url' FROM obs WHERE NOT {_URL('register_page')}
+UNION ALL SELECT register_id, 'collection' FROM obs WHERE false
+UNION ALL SELECT register_id, 'checked_at' FROM obs WHERE seen IS NULL""",
     "stream_event_windows": "SELECT date_trunc('day', ts)::TIMESTAMP AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
 }

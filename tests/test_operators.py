@@ -205,3 +205,11 @@ def test_once_per_key_by_bitmap_is_the_aggregation(spark):
 
     assert b.has(np.array(inside)).all() and b.has(np.array(outside)).mean() < 0.01
     assert bitmap(spark.createDataFrame([(None,)], "h bigint")).empty
+
+
+def test_ordinals_of_a_hot_group_and_of_nulls(spark):
+    rows = [("hot", i * 7 % 500) for i in range(500)] + [(f"g{i % 9}", i) for i in range(40)] + [(None, 3), (None, 1)]
+    df = spark.createDataFrame(rows, "id string, pos int").repartition(5)
+    got = {(r.id, r.pos): r.n for r in sequence.ordinals_in_ranges(df, "id", ["pos"], "n").collect()}
+    assert got == {(r.id, r.pos): r.n for r in sequence.ordinals(df, "id", ["pos"], "n").collect()} and len(got) == len(rows)
+    assert sequence.ordinals_in_ranges(df.limit(0), "id", ["pos"]).count() == 0

@@ -14,7 +14,7 @@ from tabularium.operators import contract, publication, verify
 from tabularium.operators.relational import GateError
 from tabularium.sources import files, publish
 from tabularium.sources.paged import read_paged
-from tabularium.streaming.ingest import fresh_rows, publish_batches, stream_table, windowed_counts
+from tabularium.streaming.ingest import fresh_rows, latest_updates, publish_batches, publish_updates, stream_table, windowed_counts
 
 RID, RID2 = "C2004A05138", "F2020L00001"
 
@@ -97,37 +97,43 @@ def test_publication(spark, tmp_path):
     df = spark.createDataFrame([("a", 1)], "id string, n int")
     fine = lambda t: t["x"].select(F.lit("n").alias("label"), (F.col("n") == 1).alias("ok"), F.lit("").alias("detail"))
     first = publish.publish(spark, root, {"x": df}, fine, {"README": "hi\n"})
-    assert publish.current(root) == first and os.path.exists(first + "/README")
+    assert publish.current(spark, root) == first and os.path.exists(first + "/README")
     with pytest.raises(GateError, match="n"):
         publish.publish(spark, root, {"x": df.withColumn("n", F.lit(2))}, fine)
-    assert publish.current(root) == first and sorted(os.listdir(root)) == sorted([publish.POINTER, os.path.basename(first)])
+    assert publish.current(spark, root) == first and sorted(x for x in os.listdir(root) if not x.startswith(".")) == sorted([publish.POINTER, os.path.basename(first)])
     with pytest.raises(Exception):
         publish.publish(spark, root, {"x": df, "y": df.select(F.raise_error(F.lit("no")))}, fine)
-    assert publish.current(root) == first and not os.path.exists(os.path.join(root, publish.LOCK))
-    assert publish.publish(spark, root, {"x": df}, fine) == publish.current(root) != first
-    publish.export_jsonl(df, str(tmp_path / "json"), "id")
-    assert os.path.isdir(tmp_path / "json" / "id=a")
-    (tmp_path / "out" / publish.POINTER).write_text("../etc")
+    assert publish.current(spark, root) == first and not os.path.exists(os.path.join(root, publish.LOCK))
+    assert publish.publish(spark, root, {"x": df}, fine) == publish.current(spark, root) != first
+    many = spark.range(200).selectExpr("if(id % 4 = 0, 'b', 'a') AS id", "format_string('%04d', id) AS row_id").repartition(7)
+    publish.export_jsonl(many, str(tmp_path / "json"), "id")
+    for value, n in (("a", 150), ("b", 50)):
+        folder = tmp_path / "json" / f"id={value}"
+        got = [line for f in sorted(os.listdir(folder)) if f.endswith(".json") for line in (folder / f).read_text().splitlines()]
+        assert len(got) == n and got == sorted(got)
+    publish.write_atomic(spark, f"{root}/{publish.POINTER}", "../etc")
     with pytest.raises(GateError):
-        publish.current(root)
+        publish.current(spark, root)
 
 
-def test_writer_lock(tmp_path):
+def test_writer_lock(spark, tmp_path):
     root, order = str(tmp_path), []
 
     def second():
-        with publish.writer_lock(root, 10):
+        with publish.writer_lock(spark, root, 10):
             order.append("second")
 
-    with publish.writer_lock(root):
+    with publish.writer_lock(spark, root):
         t = threading.Thread(target=second)
         t.start()
         time.sleep(0.3)
         order.append("first")
     t.join()
     assert order == ["first", "second"]
-    (tmp_path / publish.LOCK).write_text("")
-    with pytest.raises(GateError), publish.writer_lock(root, 0.2):
+    with pytest.raises(publish.RollbackError), publish.writer_lock(spark, root, 1):
+        raise publish.RollbackError("stays")
+    assert (tmp_path / publish.LOCK).exists()
+    with pytest.raises(GateError), publish.writer_lock(spark, root, 0.2):
         pass
     assert publish.canonical_json({"b": 1, "a": "é"}) == '{\n  "a": "é",\n  "b": 1\n}\n'
 
@@ -281,9 +287,9 @@ def test_streams(spark, tmp_path):
     q = publish_batches(fresh_rows(stream_table(spark, src, schema), "k", "ts", "1 day"), str(tmp_path / "out"), str(tmp_path / "cp"))
     q.awaitTermination()
     assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
-    q = windowed_counts(stream_table(spark, src, schema), "ts", "k", "1 day", "1 hour").writeStream.outputMode("complete").format("memory").queryName("w").trigger(availableNow=True).start()
+    q = publish_updates(windowed_counts(stream_table(spark, src, schema), "ts", "k", "1 day", "1 hour"), str(tmp_path / "w"), str(tmp_path / "wcp"))
     q.awaitTermination()
-    assert sorted((r.k, r.n) for r in spark.table("w").collect()) == [("a", 2), ("b", 1), ("c", 1)]
+    assert sorted((r.k, r.n) for r in latest_updates(spark, str(tmp_path / "w"), ["start", "k"]).collect()) == [("a", 2), ("b", 1), ("c", 1)]
 
 
 def test_registry():
