@@ -466,7 +466,7 @@ def expand(members: DataFrame, links: DataFrame, key: str) -> DataFrame:
 
 
 def classes(members: DataFrame, links: DataFrame, key: str) -> DataFrame:
-    """(key, class_id, links): connected classes; links counts the linked classes, 0 for a text without.
+    """(key, class_id, links): connected groups, named by their smallest key; links counts the linked classes of equal texts, 0 for a text without.
 
     Minimum labels travel along the links with pointer jumping; every round is
     a written table, and the rounds grow with the logarithm of the longest chain.
@@ -474,15 +474,22 @@ def classes(members: DataFrame, links: DataFrame, key: str) -> DataFrame:
     edges = materialise(links.select("a", "b").union(links.select("b", "a")).distinct())
     label = edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("l"))
     label = materialise(label)
+    rounds = [label]
     while True:
         near = edges.join(label.select(F.col("v").alias("b"), F.col("l").alias("bl")), "b").groupBy("a").agg(F.min("bl").alias("bl"))
         jump = label.select(F.col("v").alias("l"), F.col("l").alias("ll"))
         step = label.join(near.withColumnRenamed("a", "v"), "v").join(jump, "l")
         new = materialise(step.select("v", F.col("l").alias("old"), F.least("l", "bl", "ll").alias("l")))
+        rounds.append(new)
         moved = new.where("l <> old").limit(1).count()
         label = new.select("v", "l")
         if not moved:
             break
+    for old in rounds[:-1]:
+        discard(old)
     degree = edges.groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "v")
-    known = label.join(degree, "v").withColumnRenamed("v", "set_id")
-    return members.join(known, "set_id", "left").select(key, F.coalesce("l", "set_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    # names are found among classes, a row each, before they meet the members
+    sets = members.groupBy("set_id").agg(F.min(key).alias("least")).join(label.join(degree, "v").withColumnRenamed("v", "set_id"), "set_id", "left")
+    sets = sets.select("set_id", F.coalesce("l", "set_id").alias("l"), "least", F.coalesce("links", F.lit(0)).alias("links"))
+    named = sets.join(sets.groupBy("l").agg(F.min("least").alias("class_id")), "l").select("set_id", "class_id", "links")
+    return members.join(named, "set_id").select(key, "class_id", "links")
