@@ -64,6 +64,25 @@ def baseline_violations(df: DataFrame) -> DataFrame:
     return violations(df, "register_id", rules).unionByName(again)
 
 
+# Fixed value: the source a baseline has to name.
+SOURCE = "Federal Register of Legislation"
+
+
+def header_violations(header: DataFrame, titles: DataFrame) -> DataFrame:
+    """(rule): what a baseline's header (one row: corpus, retrieved, source, source_api, all text) and the number of its titles break."""
+    rules = {
+        "corpus": non_empty("corpus"),
+        "retrieved": date_text("retrieved"),
+        "source": _true(F.col("source") == SOURCE),
+        "source_api": https_url("source_api"),
+    }
+    missing = [c for c in rules if c not in header.columns]
+    broken = violations(header.withColumns({c: F.lit(None).cast("string") for c in missing}).withColumn("_h", F.lit("header")), "_h", rules).select("rule")
+    counted = titles.agg(F.count("*").alias("n")).where("n = 0").select(F.lit("titles").alias("rule"))
+    one = header.agg(F.count("*").alias("n")).where("n <> 1").select(F.lit("one header").alias("rule"))
+    return broken.unionByName(counted).unionByName(one)
+
+
 def baseline(df: DataFrame) -> DataFrame:
     """The contract's columns only, in its order."""
     return df.select(*BASELINE).orderBy("register_id", "collection")

@@ -36,6 +36,24 @@ def require_empty(df: DataFrame, message: str, named: list[str] | None = None, s
         raise GateError(f"{message}: {[tuple(r) for r in rows]}")
 
 
+def require_some(df: DataFrame, message: str) -> None:
+    """Raise GateError if the table is empty."""
+    if not df.limit(1).count():
+        raise GateError(message)
+
+
+def require_found(keys: DataFrame, key: str, found: DataFrame, found_key: str, message: str) -> None:
+    """Raise GateError, naming up to five keys, unless every key is found: an unresolved version or a failed history lets nothing be written."""
+    k = keys.select(F.col(key).alias("key")).where(F.col(key).isNotNull()).distinct()
+    require_empty(k.join(found.select(F.col(found_key).alias("key")).where(F.col(found_key).isNotNull()).distinct(), "key", "left_anti"), message, ["key"])
+
+
+def last_value_first_place(df: DataFrame, key: str, place: str, payload: list[str]) -> DataFrame:
+    """(key, place, payload...): every key at its first place with its last payload; ties by the greatest payload. One map-side aggregation."""
+    row = F.struct(place, *payload)
+    return df.groupBy(key).agg(F.min(place).alias("_first"), F.max(row).alias("_r")).select(key, F.col("_first").alias(place), *[F.col(f"_r.{c}").alias(c) for c in payload])
+
+
 def matching_scans(scans: list[Column]) -> Column:
     """The numbers of the scans whose condition a row meets, ascending."""
     return F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(scans)]))

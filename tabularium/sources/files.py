@@ -6,8 +6,10 @@ import json
 import os
 import re
 import stat
+from datetime import date
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,16 +64,41 @@ def cached_unchanged(resolved: DataFrame, sidecars: DataFrame) -> DataFrame:
     return resolved.join(s, on, "left").select(*resolved.columns, F.coalesce("_ok", F.lit(False)).alias("cached"))
 
 
+def with_retrieved(archives: DataFrame, given: str | None = None, modified: str = "modified") -> DataFrame:
+    """archives with `retrieved`: the date given, which must be a real one (YYYY-MM-DD), or else the file's."""
+    if given is None:
+        return archives.withColumn("retrieved", F.col(modified).cast("date"))
+    return archives.withColumn("retrieved", F.lit(date.fromisoformat(given)))
+
+
+def _entries(root: str, top: str):
+    """(path, kind, bytes) of an entry and all below it; links are not followed."""
+    first = os.path.join(root, top)
+    walked = [(os.path.join(f, n)) for f, ds, fs in os.walk(first, followlinks=False) for n in sorted([*ds, *fs])] if not os.path.islink(first) else []
+    for full in [first, *walked]:
+        mode = os.lstat(full).st_mode
+        kind = "symlink" if stat.S_ISLNK(mode) else "dir" if stat.S_ISDIR(mode) else "file" if stat.S_ISREG(mode) else "other"
+        if kind == "dir" and getattr(os.path, "isjunction", lambda _: False)(full):
+            kind = "junction"
+        yield os.path.relpath(full, root), kind, os.lstat(full).st_size if kind == "file" else None
+
+
 def listing(spark: SparkSession, root: str) -> DataFrame:
-    """(path, kind, bytes) of everything below a folder: dir, file, symlink or other; links are not followed."""
-    rows = []
-    for folder, dirs, files in os.walk(root, followlinks=False):
-        for name in sorted([*dirs, *files]):
-            full = os.path.join(folder, name)
-            mode = os.lstat(full).st_mode
-            kind = "symlink" if stat.S_ISLNK(mode) else "dir" if stat.S_ISDIR(mode) else "file" if stat.S_ISREG(mode) else "other"
-            rows.append((os.path.relpath(full, root), kind, os.lstat(full).st_size if kind == "file" else None))
-    return spark.createDataFrame(rows, "path string, kind string, bytes bigint")
+    """(path, kind, bytes) of everything below a folder that all machines see: dir, file, symlink, junction or other; links are not followed.
+
+    The driver lists the first level only; tasks walk what is below it.
+    """
+    top = sorted(os.listdir(root))
+    if not top:
+        return spark.createDataFrame([], "path string, kind string, bytes bigint")
+
+    def walk(batches):
+        for b in batches:
+            rows = [r for t in b.column(0).to_pylist() for r in _entries(root, t)]
+            path, kind, size = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(path, pa.string()), pa.array(kind, pa.string()), pa.array(size, pa.int64())], names=["path", "kind", "bytes"])
+
+    return spark.createDataFrame([(t,) for t in top], "top string").mapInArrow(walk, "path string, kind string, bytes bigint")
 
 
 def contained(root: str, *parts: str) -> str:

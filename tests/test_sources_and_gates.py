@@ -203,7 +203,7 @@ def section(rid, n, text, collection="Act", label="1", kind="section", folder=No
     return (rid, f"{rid}:{n:04d}:{label or '-'}", collection, label, kind, text, folder or rid, bad)
 
 
-def files(rid):
+def title_files(rid):
     return [(f"markdown/{rid}", "dir", None), (f"markdown/{rid}/{rid}.md", "file", 1), (f"markdown/{rid}/sections.jsonl", "file", 1)]
 
 
@@ -225,7 +225,7 @@ def parts(spark):
         "allowlist": spark.createDataFrame([], "kind string, sha256 string, register_id string"),
         "counts": spark.createDataFrame(counts.collect(), counts.schema),
         "lines": spark.createDataFrame(said, "path string, line string"),
-        "files": spark.createDataFrame([*files(RID), *files(RID2), ("INDEX.md", "file", 1)], "path string, kind string, bytes bigint"),
+        "files": spark.createDataFrame([*title_files(RID), *title_files(RID2), ("INDEX.md", "file", 1)], "path string, kind string, bytes bigint"),
     }
 
 
