@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabularium.functions import identifiers as I  # noqa: E741
 from tabularium.functions import text as X
 from tabularium.operators import numbers, privacy, relational, rollup, sequence
+from tabularium.plans.corpus_sql import ORACLE  # noqa: F401
 from tabularium.sources.tables import once_per_key, table
 
 # What titles are searched for.
@@ -110,8 +111,10 @@ def contact_fingerprints(spark, d):
 
 
 def check_digits(spark, d):
-    n = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
-    return table(spark, d, "customer").select("c_custkey", I.plausible_tfn(n).alias("plausible"))
+    """Every run of nine digits in the texts, with or without separators, and whether its check sum holds."""
+    runs = F.regexp_extract_all("text", F.lit("[0-9]{3}[ -]?[0-9]{3}[ -]?[0-9]{3}"), F.lit(0))
+    n = sections(spark, d, ["text"]).select("row_id", F.posexplode(runs).alias("pos", "value"))
+    return n.select("row_id", "pos", "value", I.plausible_tfn(I.digits(F.col("value"))).alias("plausible"))
 
 
 def pii_summary(spark, d):
@@ -251,11 +254,3 @@ latest_documents merged_patches looked_up_names inventory_diff removed_lines sec
 line_islands corpus_rollup kind_histogram subset_rollup reconciliation"""
 QUERIES = {n: globals()[n] for n in _NAMES.split()}
 
-
-def __getattr__(name: str):
-    # the SQL module needs this module's constants, so it is loaded on demand
-    if name == "ORACLE":
-        from tabularium.plans import corpus_sql
-
-        return corpus_sql.ORACLE
-    raise AttributeError(name)

@@ -2,9 +2,44 @@
 
 from __future__ import annotations
 
-from tabularium.functions import identifiers as I  # noqa: E741
-from tabularium.functions import text as X
-from tabularium.plans.corpus_queries import COLLECTIONS, KEYWORDS
+# Fixed values, stated here anew so that the SQL does not depend on what it checks: titles searched for, phrases, vocabulary, topics.
+KEYWORDS = ["Tax", "Excise", "Superannuation", "Customs Tariff", "Medicare Levy"]
+COLLECTIONS = ["Act", "LegislativeInstrument", "NotifiableInstrument"]
+YEAR = r"\b(?:19|20)[0-9]{2}[\x{2011}-][0-9]{2}\b|\b(?:19|20)[0-9]{2}\b"
+RATE_PHRASE = r"rate (is|are|of)|rates (is|are|of)|percentage|factor|multiplied by|gross[\x{2011}-]up|indexation factor"
+THRESHOLD_PHRASE = r"threshold|limit|cap|maximum|minimum|exceeds|does not exceed|tax[\x{2011}-]free"
+INDEX_PHRASE = r"indexed|indexation|CPI|consumer price index|AWOTE|average weekly ordinary time earnings"
+OWNERSHIP = (
+    r"continuity of ownership|beneficial own|beneficial entitled|beneficially own|beneficially entitled|wholly[-\x{2011}]owned|majority[-\x{2011}]owned"
+    r"|(voting|dividend|capital|ownership|control|equity) (interest|right|stake|power)"
+)
+STATUTORY = (
+    "Act|Regulation|Schedule|Division|Subdivision|Part|Chapter|Section|Commissioner|Minister|Treasurer|Commonwealth|Australian|Australia|Board|Tax|Taxation|Income|"
+    "Superannuation|Court|Tribunal|Determination|Notice|Instrument|Amendment|January|February|March|April|May|June|July|August|September|October|November|December"
+)
+TFN_WEIGHTS = [1, 4, 3, 7, 5, 8, 6, 9, 10]
+FOLDED = "‑‐‒–—"
+TOPICS = [
+    ("customs tariff schedules", r"customs tariff|tariff (classification|schedule|item)|chapter \d+ .*(goods|articles)"),
+    ("excise and fuel", r"excise|fuel tax credit|diesel|petroleum product"),
+    ("income tax rates", r"income tax.*rate|rates act|marginal rate|tax[\x{2011}-]free threshold|resident taxpayer|non[\x{2011}-]resident.*rate"),
+    ("medicare levy", r"medicare"),
+    ("fringe benefits tax", r"fringe benefit|(^|[^A-Za-z])FBT([^A-Za-z]|$)|gross[\x{2011}-]up"),
+    ("superannuation", r"superannuation|super(annuation)? (guarantee|contribution|fund)|concessional cap|transfer balance|(^|[^A-Za-z])SMSF([^A-Za-z]|$)"),
+    ("gst and indirect", r"goods and services tax|(^|[^A-Za-z])GST([^A-Za-z]|$)|wine equalisation|luxury car tax"),
+    ("capital gains", r"capital gain|(^|[^A-Za-z])CGT([^A-Za-z]|$)|cost base|discount capital"),
+    ("capital allowances and depreciation", r"depreciat|capital allowance|decline in value|effective life|car limit|low[\x{2011}-]value pool"),
+    ("companies and franking", r"franking|imputation|dividend|company tax|corporate tax rate|base rate entity"),
+    ("trusts and partnerships", r"(^|[^A-Za-z])trust([^A-Za-z]|$)|trustee|partnership|beneficiary"),
+    ("deductions and offsets", r"deduction|offset|rebate|substantiat|entertainment|gift|donation"),
+    ("withholding and PAYG", r"withholding|(^|[^A-Za-z])PAYG([^A-Za-z]|$)|tax file number|instal?ment"),
+    ("family assistance", r"family assistance|family tax benefit|child care"),
+    ("petroleum and mining", r"petroleum resource rent|minerals resource rent|mining"),
+    ("R&D and incentives", r"research and development|(^|[^A-Za-z])R&D([^A-Za-z]|$)|incentive|concession"),
+    ("small business", r"small business|aggregated turnover"),
+    ("administration and penalties", r"penalt|shortfall|general interest charge|(^|[^A-Za-z])GIC([^A-Za-z]|$)|(^|[^A-Za-z])SIC([^A-Za-z]|$)|administrative|objection|assessment"),
+    ("international", r"foreign|non[\x{2011}-]resident|transfer pricing|thin capitalisation|double tax|treaty"),
+]
 
 
 def q(s: str) -> str:
@@ -29,7 +64,7 @@ def factors(t: str) -> str:
 
 
 def years(t: str) -> str:
-    return f"list_sort(list_distinct(regexp_extract_all({t}, {q(X.YEAR)})))"
+    return f"list_sort(list_distinct(regexp_extract_all({t}, {q(YEAR)})))"
 
 
 def has(t: str, p: str) -> str:
@@ -51,7 +86,7 @@ SENTENCES = (
     f"'\\n{{2,}}', chr(1), 'g'), chr(1)), lambda z: {STRIP}), lambda z: length(z) > 15 AND length(z) < 600)"
 )
 BLOCKS = r"list_transform(regexp_extract_all(text, '(?m)(?:^\|[^\n]*\n?)+'), lambda z: regexp_replace(z, '\n$', ''))"
-_OWNER = "|".join(X.OWNERSHIP_PHRASES) + f"|({'|'.join(X.OWNERSHIP_LEFT)}) ({'|'.join(X.OWNERSHIP_RIGHT)})"
+_OWNER = OWNERSHIP
 
 
 def ownership(t: str) -> str:
@@ -60,7 +95,7 @@ def ownership(t: str) -> str:
 
 def topic() -> str:
     hay = "coalesce(heading, '') || ' ' || substring(coalesce(text, ''), 1, 300) || ' ' || coalesce(act, '')"
-    cases = " ".join(f"WHEN {has('hay', X.topic_pattern(p, False))} THEN {q(n)}" for n, p in X.TOPICS)
+    cases = " ".join(f"WHEN {has('hay', p)} THEN {q(n)}" for n, p in TOPICS)
     return hay, f"CASE {cases} ELSE 'other' END"
 
 
@@ -69,29 +104,29 @@ ONCE = "once AS (SELECT * FROM sections QUALIFY row_number() OVER (PARTITION BY
 RECORDS = f"""
 {ONCE},
 op AS (SELECT *, {HAY} AS hay FROM once
-       WHERE len({money('text')}) > 0 OR len({percent('text')}) > 0 OR (len({factors('text')}) > 0 AND {has('text', X.RATE_PHRASE)})),
+       WHERE len({money('text')}) > 0 OR len({percent('text')}) > 0 OR (len({factors('text')}) > 0 AND {has('text', RATE_PHRASE)})),
 rows_ AS (SELECT *, {TOPIC} AS topic FROM op),
 tb AS (SELECT row_id, act, section, heading, collection, topic, 0 AS part, unnest(range(len(bs))) AS pos, unnest(bs) AS content FROM (SELECT *, {BLOCKS} AS bs FROM rows_)),
 tables_ AS (SELECT *, 'table' AS kind, NULL::VARCHAR[] AS amounts, {years("replace(content, chr(10), ' ')")} AS years FROM tb
             WHERE len(string_split(content, chr(10))) >= 3 AND (len({money("replace(content, chr(10), ' ')")}) > 0 OR len({percent("replace(content, chr(10), ' ')")}) > 0)),
 sn AS (SELECT row_id, act, section, heading, collection, topic, 1 AS part, unnest(range(len(ss))) AS pos, unnest(ss) AS content FROM (SELECT *, {SENTENCES} AS ss FROM rows_)),
-sv AS (SELECT *, {money('content')} AS m, {percent('content')} AS p, CASE WHEN {has('content', X.RATE_PHRASE)} THEN {factors('content')} ELSE [] END AS f FROM sn),
+sv AS (SELECT *, {money('content')} AS m, {percent('content')} AS p, CASE WHEN {has('content', RATE_PHRASE)} THEN {factors('content')} ELSE [] END AS f FROM sn),
 said AS (SELECT row_id, act, section, heading, collection, topic, part, pos, content,
-           CASE WHEN {has('content', X.INDEX_PHRASE)} THEN 'indexation' WHEN len(p) > 0 AND {ownership('content')} THEN 'ownership test' WHEN len(p) > 0 THEN 'rate'
+           CASE WHEN {has('content', INDEX_PHRASE)} THEN 'indexation' WHEN len(p) > 0 AND {ownership('content')} THEN 'ownership test' WHEN len(p) > 0 THEN 'rate'
                 WHEN len(f) > 0 AND len(m) = 0 THEN 'factor' ELSE 'threshold' END AS kind,
            list_sort(list_distinct(list_concat(m, p, f))) AS amounts, {years('content')} AS years
          FROM sv WHERE (len(m) > 0 OR len(p) > 0 OR len(f) > 0)
-           AND (len(p) > 0 OR {has('content', X.RATE_PHRASE)} OR {has('content', X.THRESHOLD_PHRASE)} OR {has('content', X.INDEX_PHRASE)})),
+           AND (len(p) > 0 OR {has('content', RATE_PHRASE)} OR {has('content', THRESHOLD_PHRASE)} OR {has('content', INDEX_PHRASE)})),
 records AS (SELECT row_id, act, section, heading, collection, topic, part, pos, content, kind, amounts, years FROM tables_ UNION ALL SELECT row_id, act, section, heading, collection, topic, part, pos, content, kind, amounts, years FROM said)
 """
 
 
 def fold(c: str) -> str:
-    return f"translate({c}, {q(X.FOLDED_DASHES + chr(0xA0))}, {q('-' * len(X.FOLDED_DASHES) + ' ')})"
+    return f"translate({c}, {q(FOLDED + chr(0xA0))}, {q('-' * len(FOLDED) + ' ')})"
 
 
 _TOK = r"[A-Z][A-Za-z'\x{2019}-]{1,20}"
-_STAT = "|".join(I.STATUTORY_WORDS)
+_STAT = STATUTORY
 _STATUTORY = (
     rf"(regexp_matches(z, '\b({_STAT})\b') OR (len(list_filter(regexp_split_to_array(z, '[^A-Za-z]+'), lambda y: length(y) > 1 AND upper(y) = y)) > 0 AND regexp_matches(z, '(?i)\b({_STAT})\b')))"
 )
@@ -114,7 +149,7 @@ _TFN_END = r"(?:[^\d\s\p{Z}-]|[\s\p{Z}-](?:[^\d]|$)|$)"
 _TFN = rf"(?i)\b(?:tax file number|TFN)\b[\s\p{{Z}}]*(?:[.:\x{{2013}}-][\s\p{{Z}}]*)?(\d(?:{_G}?\d){{7,8}}){_TFN_END}"
 _BARE = "|".join(rf"\d{{3}}{x}\d{{3}}{x}\d{{3}}" for x in ("", "-", " ", r"\x{A0}"))
 _BARE = rf"(?:^|[^\d$\s\p{{Z}}-]|(?:^|[^\d$])[\s\p{{Z}}-])({_BARE}){_TFN_END}"
-_NINE = " + ".join(f"{w} * substring(v, {i + 1}, 1)::INT" for i, w in enumerate((1, 4, 3, 7, 5, 8, 6, 9, 10)))
+_NINE = " + ".join(f"{w} * substring(v, {i + 1}, 1)::INT" for i, w in enumerate(TFN_WEIGHTS))
 
 
 def contacts(src: str) -> str:
@@ -151,14 +186,14 @@ _SCANS = " UNION ALL ".join(
     f"SELECT *, {i} AS scan FROM t WHERE isInForce AND collection = {q(c)} AND contains(name, {q(k)})" for i, (c, k) in enumerate((c, k) for c in COLLECTIONS for k in KEYWORDS)
 )
 _LABEL = r"replace(coalesce(section, ''), '-', chr(8209))"
-_WEIGHTED = " + ".join(f"{w} * substring(lpad(c_custkey::VARCHAR, 9, '0'), {i + 1}, 1)::INT" for i, w in enumerate(I.TFN_WEIGHTS))
+_WEIGHTED = " + ".join(f"{w} * substring(regexp_replace(value, '[ -]', '', 'g'), {i + 1}, 1)::INT" for i, w in enumerate(TFN_WEIGHTS))
 
 ORACLE = {
     "word_counts": f"WITH {ONCE} SELECT register_id, count(*) AS rows, coalesce(sum({words('text')}), 0)::BIGINT AS words FROM once GROUP BY 1",
     "sentences": f"WITH {ONCE}, s AS (SELECT row_id, {SENTENCES} AS ss FROM once) SELECT row_id, unnest(range(len(ss))) AS pos, unnest(ss) AS sentence FROM s",
     "amounts": f"WITH {ONCE} SELECT row_id, {joined(money('text'))} AS money, {joined(percent('text'))} AS percent, {joined(factors('text'))} AS factors, {joined(years('text'))} AS years FROM once",
     "table_blocks": f"WITH {ONCE}, b AS (SELECT row_id, {BLOCKS} AS bs FROM once), u AS (SELECT row_id, unnest(range(len(bs))) AS pos, unnest(bs) AS block FROM b) SELECT *, len(string_split(block, chr(10))) AS n_lines FROM u",
-    "phrases": f"WITH {ONCE}, h AS (SELECT *, {HAY} AS hay FROM once) SELECT row_id, {TOPIC} AS topic, {ownership('text')} AS ownership, {has('text', X.INDEX_PHRASE)} AS indexed, {fold('heading')} AS heading_ascii, left(replace(replace(text, '|', '\\|'), chr(10), ' '), 48) AS cell FROM h",
+    "phrases": f"WITH {ONCE}, h AS (SELECT *, {HAY} AS hay FROM once) SELECT row_id, {TOPIC} AS topic, {ownership('text')} AS ownership, {has('text', INDEX_PHRASE)} AS indexed, {fold('heading')} AS heading_ascii, left(replace(replace(text, '|', '\\|'), chr(10), ' '), 48) AS cell FROM h",
     "number_records": f"WITH {RECORDS} SELECT row_id, part, pos, kind, topic, {joined('amounts')} AS amounts, {joined('years')} AS years, {fold('content')} AS content_ascii, {fold('heading')} AS heading_ascii FROM records",
     "number_index": f"WITH {RECORDS} SELECT 'R' || lpad((row_number() OVER (ORDER BY topic, act NULLS FIRST, coalesce(section, ''), kind, row_id, part, pos))::VARCHAR, 5, '0') AS rate_id, row_id, part, pos, topic, kind FROM records",
     "number_histograms": f"WITH {RECORDS} {histogram('records', ['topic', 'kind', 'collection'])}",
@@ -166,7 +201,7 @@ ORACLE = {
     "person_rows": f"WITH {ONCE} {persons('once', 3)}",
     "person_titles": f"WITH {ONCE}, hot AS ({persons('once', 3)}), tot AS (SELECT register_id, count(*) AS rows_total FROM once GROUP BY 1) SELECT register_id, any_value(rows_total) AS rows_total, count(*) AS rows_flagged, sum(names)::BIGINT AS names_est, sum(words)::BIGINT AS words FROM hot JOIN tot USING (register_id) GROUP BY 1",
     "sparse_person_rows": f"WITH {ONCE}, {_SUBSET} {persons('subset', 1)}",
-    "check_digits": f"SELECT c_custkey, ({_WEIGHTED}) % 11 = 0 AS plausible FROM customer",
+    "check_digits": f"WITH {ONCE}, v AS (SELECT row_id, regexp_extract_all(text, '[0-9]{{3}}[ -]?[0-9]{{3}}[ -]?[0-9]{{3}}') AS vs FROM once), u AS (SELECT row_id, unnest(range(len(vs))) AS pos, unnest(vs) AS value FROM v) SELECT *, ({_WEIGHTED}) % 11 = 0 AS plausible FROM u",
     "pii_summary": "SELECT count(*) AS titles, (round_even(coalesce(sum(names_est), 0) / 50.0, 0) * 50)::BIGINT AS names FROM pii_flagged",
     "discover_titles": f"WITH {_FIRST_TITLE}, s AS ({_SCANS}) SELECT id, name, collection, isPrincipal, scan FROM s WHERE isPrincipal QUALIFY row_number() OVER (PARTITION BY id ORDER BY scan, name) = 1",
     "scan_counts": f"WITH {_FIRST_TITLE}, s AS ({_SCANS}), f AS (SELECT id, min(scan) AS first FROM s GROUP BY 1) SELECT n::INT AS scan, count(s.id) AS matched, count(*) FILTER (WHERE f.first = n) AS new FROM range({len(COLLECTIONS) * len(KEYWORDS)}) r(n) LEFT JOIN s ON s.scan = n LEFT JOIN f ON f.id = s.id GROUP BY 1",
