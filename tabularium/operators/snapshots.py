@@ -1,17 +1,29 @@
 """Changes between consecutive full snapshots of a table.
 
-Method: the snapshots are kept range-partitioned and sorted by key; within a
-range one pass merges the streams. Spark's window `lag`/`lead` over a relation
-already range-partitioned and sorted by (key, snapshot) is that merge: the two
-pointers are the current row and its neighbour, rows stream through in key
-order, and no range is ever held in memory. Range partitioning satisfies the
-window's distribution, so the merge adds no exchange.
+Method: the snapshots are kept range-partitioned and sorted by key: one folder
+per snapshot and range, the ranges' bounds kept with them, so that a new
+snapshot is settled and written once and the others are never touched again.
+Two consecutive snapshots are compared range by range: a reader of its own
+opens the two sorted files of a range and streams a two-pointer merge over
+them, without a shuffle and without holding a range in memory.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import os
+import re
+import uuid
+from urllib.parse import unquote
+
+import pyarrow.fs
+import pyarrow.parquet
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from tabularium.session import file_system, shared_dir
+
+SAMPLED_KEYS = 10_000  # about as many keys, chosen by hash, set the ranges' bounds; every row is placed by them
 
 # The snapshot calendar is read once and broadcast up to this many dates; beyond it a shuffled join is used.
 CALENDAR_BROADCAST_ROWS = 20_000
@@ -73,49 +85,126 @@ def numeric_text(c: Column) -> Column:
     return F.when(digits != "", digits.cast("decimal(38,0)"))
 
 
-def snapshot_changes(
-    df: DataFrame,
-    key: str,
-    snapshot: str,
-    loaded: str,
-    compare: dict[str, Column],
-    partitions: int | None = None,
-) -> DataFrame:
-    """Typed changes (key, snapshot, change) between each two consecutive snapshots.
+def keep_snapshots(df: DataFrame, root: str, key: str, snapshot: str, loaded: str, compare: dict[str, Column], ranges: int | None = None) -> None:
+    """Settle the snapshots of df and add them to those kept in `root`; a snapshot that is there already is replaced.
+
+    Keys and compared values are kept as text. Bounds are set by the first
+    call and stay; they only decide how even the ranges are.
+    """
+    spark = df.sparkSession
+    src = df.select(F.col(key).cast("string").alias("_key"), F.col(snapshot).alias("_snap"), F.col(loaded).alias("_loaded"), *[c.cast("string").alias(f"_v{i}") for i, c in enumerate(compare.values())])
+    settled = settle(src, "_key", "_snap", "_loaded", [f"_v{i}" for i in range(len(compare))])
+    fs, at = file_system(spark, f"{root}/bounds")
+    if not fs.exists(at):
+        n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        _bounds(src.select("_key"), n).coalesce(1).write.parquet(f"{root}/bounds")
+    bounds = [r["_key"] for r in spark.read.schema("_key string").parquet(f"{root}/bounds").collect()]
+    place = F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<string>"), lambda b: b <= F.col("_key"))) if bounds else F.lit(0)
+    placed = settled.withColumn("_range", place).repartitionById(len(bounds) + 1, "_range").sortWithinPartitions("_snap", "_key")
+    placed.write.partitionBy("_snap", "_range").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/rows")
+
+
+def _bounds(keys: DataFrame, ranges: int) -> DataFrame:
+    """(_key): at most ranges - 1 keys that part the distinct keys about evenly; they are the same whatever the partitions."""
+    known = keys.where("_key IS NOT NULL").distinct()
+    every = max(1, known.count() // SAMPLED_KEYS)
+    some = known.where(F.pmod(F.xxhash64("_key"), F.lit(every)) == 0)
+    placed = some.withColumn("_n", F.row_number().over(Window.orderBy("_key")) - 1).withColumn("_of", F.count("*").over(Window.partitionBy()))
+    part = lambda n: F.floor(n * ranges / F.col("_of"))
+    return placed.where((F.col("_n") > 0) & (part(F.col("_n")) > part(F.col("_n") - 1))).select("_key")
+
+
+class _Pair(InputPartition):
+    def __init__(self, old: str | None, new: str | None, later: str):
+        super().__init__(later)
+        self.old, self.new, self.later = old, new, later
+
+
+def _opened(path: str):
+    """(file system, path in it) for whatever the shared folder is."""
+    return pyarrow.fs.FileSystem.from_uri(path) if re.match(r"[a-z0-9]+:/", path) else (pyarrow.fs.LocalFileSystem(), path)
+
+
+def _rows(folder: str | None):
+    """(key, values) of a range of a snapshot in order of the key; batch by batch."""
+    if folder is None:
+        return
+    fs, path = _opened(folder)
+    names = sorted(i.path for i in fs.get_file_info(pyarrow.fs.FileSelector(path)) if i.path.endswith(".parquet"))
+    for name in names:
+        with fs.open_input_file(name) as f:
+            for b in pyarrow.parquet.ParquetFile(f).iter_batches():
+                keys = b.column(b.schema.get_field_index("_key")).to_pylist()
+                values = [b.column(i).to_pylist() for i, c in enumerate(b.schema.names) if c.startswith("_v")]
+                yield from zip(keys, zip(*values) if values else [()] * len(keys))
+
+
+class _Merge(DataSourceReader):
+    def __init__(self, root: str):
+        self.root = root
+
+    def partitions(self):
+        fs, path = _opened(f"{self.root}/rows")
+        if fs.get_file_info(path).type == pyarrow.fs.FileType.NotFound:
+            return [_Pair(None, None, "")]
+        found: dict[str, dict[str, str]] = {}
+        whole = f"{self.root}/rows"
+        scheme = whole[: -len(path)] if whole.endswith(path) and whole != path else ""
+        for s in fs.get_file_info(pyarrow.fs.FileSelector(path)):
+            if s.type == pyarrow.fs.FileType.Directory and os.path.basename(s.path).startswith("_snap="):
+                ranges = fs.get_file_info(pyarrow.fs.FileSelector(s.path))
+                found[unquote(os.path.basename(s.path)[6:])] = {os.path.basename(r.path): scheme + r.path for r in ranges if os.path.basename(r.path).startswith("_range=")}
+        days = sorted(found)
+        pairs = [_Pair(found[a].get(r), found[b].get(r), b) for a, b in zip(days, days[1:]) for r in sorted({*found[a], *found[b]})]
+        return pairs or [_Pair(None, None, "")]
+
+    def read(self, partition):
+        old, new = _rows(partition.old), _rows(partition.new)
+        a, b = next(old, None), next(new, None)
+        while a is not None or b is not None:
+            if b is None or (a is not None and a[0].encode() < b[0].encode()):
+                yield a[0], partition.later, "removed"
+                a = next(old, None)
+            elif a is None or b[0].encode() < a[0].encode():
+                yield b[0], partition.later, "added"
+                b = next(new, None)
+            else:
+                if a[1] != b[1]:
+                    yield a[0], partition.later, "changed"
+                a, b = next(old, None), next(new, None)
+
+
+class SnapshotMerge(DataSource):
+    """Through kept_changes(): a partition per range and pair of consecutive snapshots, compared by a two-pointer merge."""
+
+    @classmethod
+    def name(cls):
+        return "snapshot_merge"
+
+    def schema(self):
+        return "k string, at string, change string"
+
+    def reader(self, schema):
+        return _Merge(self.options["root"])
+
+
+def kept_changes(spark: SparkSession, root: str) -> DataFrame:
+    """(k, at, change) between each two consecutive snapshots kept in `root`, which all machines see; keys and dates as text."""
+    spark.dataSource.register(SnapshotMerge)
+    return spark.read.format("snapshot_merge").option("root", root).load()
+
+
+def snapshot_changes(df: DataFrame, key: str, snapshot: str, loaded: str, compare: dict[str, Column], root: str | None = None, ranges: int | None = None) -> DataFrame:
+    """Typed changes (key, snapshot, change) between each two consecutive snapshots, of df and of those kept in `root` before.
 
     `compare` names the compared expressions over df's columns; null equals
     null, null against a value differs. `change` is added, removed or changed
     and `snapshot` is the later date. The first snapshot yields nothing; an
-    empty table yields an empty result; extra columns are ignored.
+    empty table yields an empty result; extra columns are ignored. Without a
+    root the snapshots are kept in a new folder of the shared one.
     """
-    src = df.select(F.col(key).alias("_key"), F.col(snapshot).alias("_snap"), F.col(loaded).alias("_loaded"), *[c.alias(f"_v{i}") for i, c in enumerate(compare.values())])
-    values = [f"_v{i}" for i in range(len(compare))]
-    rows = Calendar(src, "_snap").join(settle(src, "_key", "_snap", "_loaded", values))
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(n, "_key").sortWithinPartitions("_key", "_i")
-    w = Window.partitionBy("_key").orderBy("_i")
-    merged = ranged.select(
-        "*",
-        F.lag("_i").over(w).alias("_pi"),
-        F.lead("_i").over(w).alias("_ni"),
-        *[F.lag(v).over(w).alias(f"_p{v}") for v in values],
-    )
-    kept = F.col("_pi") == F.col("_i") - 1
-    same = F.lit(True)
-    for v in values:
-        same = same & F.col(v).eqNullSafe(F.col(f"_p{v}"))
-    events = F.array(
-        F.struct(
-            F.col("_snap").alias("at"),
-            F.when((F.col("_i") > 0) & ~F.coalesce(kept, F.lit(False)), "added").when(kept & ~same, "changed").alias("change"),
-        ),
-        F.struct(
-            F.col("_next").alias("at"),
-            F.when(F.col("_next").isNotNull() & ~F.coalesce(F.col("_ni") == F.col("_i") + 1, F.lit(False)), "removed").alias("change"),
-        ),
-    )
-    return (
-        merged.select("_key", F.explode(events).alias("_e"))
-        .where(F.col("_e.change").isNotNull())
-        .select(F.col("_key").alias(key), F.col("_e.at").alias(snapshot), F.col("_e.change").alias("change"))
-    )
+    spark = df.sparkSession
+    where = root or f"{shared_dir(spark).rstrip('/')}/snapshots-{uuid.uuid4().hex}"
+    keep_snapshots(df, where, key, snapshot, loaded, compare, ranges)
+    types = {f.name: f.dataType for f in df.schema}
+    return kept_changes(spark, where).select(F.col("k").cast(types[key]).alias(key), F.col("at").cast(types[snapshot]).alias(snapshot), "change")

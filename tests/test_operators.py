@@ -53,6 +53,19 @@ def test_changes_against_brute_force(spark, seed):
     assert got == want
 
 
+def test_kept_snapshots_grow_and_are_replaced(spark, tmp_path):
+    rows = [r for r in snapshots(3) if r[1]]
+    df = spark.createDataFrame(rows, SNAP)
+    compare = {"n": numeric_text(F.col("num")), "d": F.col("d")}
+    want = sorted(map(str, snapshot_changes(df, "id", "day", "loaded", compare).collect()))
+    for root, n in ((str(tmp_path / "a"), 5), (f"file://{tmp_path}/b", 1)):
+        snapshot_changes(df.where(F.col("day") <= F.lit(DAYS[2])), "id", "day", "loaded", compare, root, n)
+        wrong = df.where(F.col("day") == F.lit(DAYS[3])).withColumn("num", F.lit("77"))
+        snapshot_changes(wrong, "id", "day", "loaded", compare, root)
+        grown = snapshot_changes(df.where(F.col("day") >= F.lit(DAYS[3])), "id", "day", "loaded", compare, root)
+        assert sorted(map(str, grown.collect())) == want
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_history_against_brute_force(spark, seed):
     rows = snapshots(seed)
