@@ -100,7 +100,8 @@ def keep_snapshots(df: DataFrame, root: str, key: str, snapshot: str, loaded: st
         _bounds(src.select("_key"), n).coalesce(1).write.parquet(f"{root}/bounds")
     bounds = [r["_key"] for r in spark.read.schema("_key string").parquet(f"{root}/bounds").collect()]
     place = F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<string>"), lambda b: b <= F.col("_key"))) if bounds else F.lit(0)
-    placed = settled.withColumn("_range", place).repartitionById(len(bounds) + 1, "_range").sortWithinPartitions("_snap", "_key")
+    # the writer asks for the order of its folders first; any other order would be sorted again, and the keys' lost
+    placed = settled.withColumn("_range", place).repartitionById(len(bounds) + 1, "_range").sortWithinPartitions("_snap", "_range", "_key")
     placed.write.partitionBy("_snap", "_range").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/rows")
 
 
@@ -131,11 +132,16 @@ def _rows(folder: str | None):
         return
     fs, path = _opened(folder)
     names = sorted(i.path for i in fs.get_file_info(pyarrow.fs.FileSelector(path)) if i.path.endswith(".parquet"))
+    last = None
     for name in names:
         with fs.open_input_file(name) as f:
             for b in pyarrow.parquet.ParquetFile(f).iter_batches():
                 keys = b.column(b.schema.get_field_index("_key")).to_pylist()
                 values = [b.column(i).to_pylist() for i, c in enumerate(b.schema.names) if c.startswith("_v")]
+                order = [k.encode() for k in keys]
+                if (last is not None and order and order[0] <= last) or any(x >= y for x, y in zip(order, order[1:])):
+                    raise ValueError(f"a kept range is out of order: {name}")
+                last = order[-1] if order else last
                 yield from zip(keys, zip(*values) if values else [()] * len(keys))
 
 

@@ -66,6 +66,22 @@ def test_kept_snapshots_grow_and_are_replaced(spark, tmp_path):
         assert sorted(map(str, grown.collect())) == want
 
 
+def test_many_keys_stay_in_order(spark):
+    r = random.Random(4)
+    rows = [(f"k{r.randrange(10**9)}", d, None, "1", None, None, None) for d in DAYS[:3] for _ in range(4000)]
+    keep = [f"s{i}é" for i in range(4000)]
+    rows += [(k, d, None, str(i % 2 if k > "s2" else 1), None, None, None) for k in keep for i, d in enumerate(DAYS[:3])]
+    r.shuffle(rows)
+    got = snapshot_changes(spark.createDataFrame(rows, SNAP).repartition(9), "id", "day", "loaded", {"n": F.col("num")}, ranges=3)
+    counts = {(x.day, x.change): x["count"] for x in got.groupBy("day", "change").count().collect()}
+    changed = sum(k > "s2" for k in keep)
+    want = {}
+    for a, b in zip(DAYS[:3], DAYS[1:3]):
+        before, after = ({x[0] for x in rows if x[1] == d} for d in (a, b))
+        want |= {(b, "added"): len(after - before), (b, "removed"): len(before - after), (b, "changed"): changed}
+    assert counts == want
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_history_against_brute_force(spark, seed):
     rows = snapshots(seed)
