@@ -128,3 +128,49 @@ def test_write_lines(spark, tmp_path):
     publication.write_lines(df, str(tmp_path / "x"), ["a", "b"])
     got = [line for f in sorted((tmp_path / "x").glob("part-*")) for line in f.read_text().splitlines()]
     assert got == [r.line for r in df.orderBy("a", "b").collect()]
+
+
+VERSIONS = "titleId string, start date, isCurrent boolean, compilationNumber string, registerId string"
+
+
+def test_versions_are_resolved_or_nothing_is(spark):
+    from tabularium.operators import runs
+
+    d = [dt.date(2026, m, 1) for m in (1, 2, 3)]
+    v = spark.createDataFrame([("a", d[0], False, "1", "D1"), ("a", d[1], True, "2", None), ("b", d[2], True, None, "D9"), (None, d[0], True, "1", "D")], VERSIONS)
+    t = spark.createDataFrame([("a", "A"), ("b", "B")], "id string, name string")
+    assert {(r.id, r.compilationNumber, r.compilationRegisterId) for r in runs.resolve_versions(t, v).collect()} == {("a", "2", None), ("b", None, "D9")}
+    with pytest.raises(relational.GateError, match="'c'"):
+        runs.resolve_versions(t.union(spark.createDataFrame([("c", "C")], t.schema)), v)
+    looked = spark.createDataFrame([("a", True), ("b", True)], "id string, ok boolean")
+    found = runs.latest_documents(looked, v)
+    assert {(r.titleId, r.n_versions, r.registerId) for r in found.collect()} == {("a", 2, "D1"), ("b", 1, "D9")}
+    for bad in (("x", True), ("a", False), ("a", None)):
+        with pytest.raises(relational.GateError, match=bad[0]):
+            runs.latest_documents(spark.createDataFrame([bad], looked.schema), v)
+    manifest = spark.createDataFrame([("a", None), ("b", "b.epub"), ("z", None)], "id string, epub string")
+    assert [(r.id, r.latest_document) for r in runs.recovered(manifest, found).collect()] == [("a", "D1")]
+
+
+def test_a_corpus_is_published_whole_or_not_at_all(spark, tmp_path):
+    from tabularium.operators import runs
+    from tabularium.sources.publish import current
+
+    columns = "register_id string, name string, collection string, compilation_number string, compilation_date date, register_page string, keywords_in_name array<string>, endnotes string, version_is_current boolean"
+    t = spark.createDataFrame([("C2000A00001", "A Tax Act", "Act", "1", DAY, "p", ["Tax"], None, True), ("F2000L00002", "Rules", "LegislativeInstrument", None, None, None, None, None, False)], columns)
+    html = '<p class="ActHead5"><span class="CharSectno">1 Rate</span></p><p class="subsection">The rate of tax is 5% of income.</p>'
+    docs = spark.createDataFrame([("C2000A00001", html), ("F2000L00002", "<p>only prose</p>")], "register_id string, html string")
+    root = str(tmp_path / "out")
+    folder = runs.publish_corpus(spark, root, t, docs, "html")
+    assert current(spark, root) == folder
+    rows = spark.read.parquet(f"{folder}/sections").collect()
+    assert {(r.row_id, r.kind) for r in rows} == {("C2000A00001:0001:1", "section"), ("F2000L00002:0001:-", "whole_act")}
+    assert [(r.rate_id, r.kind) for r in spark.read.parquet(f"{folder}/numbers").collect()] == [("R00001", "rate")]
+    assert {r.name: r.value for r in spark.read.parquet(f"{folder}/counts").collect()}["titles_whole_act_chunk"] == 1
+    for bad in (t.limit(0), t.union(t.limit(1).withColumn("register_id", F.lit("C9")))):
+        with pytest.raises(relational.GateError):
+            runs.publish_corpus(spark, root, bad, docs, "html")
+    broken = spark.createDataFrame([("C2000A00001", bytearray(b"PK")), ("F2000L00002", bytearray(b"no"))], "register_id string, z binary")
+    with pytest.raises(relational.GateError, match="cannot be read"):
+        runs.publish_corpus(spark, root, t, broken, "z")
+    assert current(spark, root) == folder
