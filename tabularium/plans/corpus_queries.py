@@ -9,7 +9,7 @@ from tabularium.functions import identifiers as I  # noqa: E741
 from tabularium.functions import text as X
 from tabularium.operators import numbers, privacy, relational, rollup, sequence
 from tabularium.plans.corpus_sql import ORACLE  # noqa: F401
-from tabularium.sources.tables import once_per_key, table
+from tabularium.sources.tables import once_per_key, spread, table
 
 # What titles are searched for.
 KEYWORDS = ["Tax", "Excise", "Superannuation", "Customs Tariff", "Medicare Levy"]
@@ -18,7 +18,8 @@ COLLECTIONS = ["Act", "LegislativeInstrument", "NotifiableInstrument"]
 
 def sections(spark: SparkSession, d: str, columns: list[str]) -> DataFrame:
     """The named columns of every row_id, counted once."""
-    return once_per_key(table(spark, d, "sections"), "row_id", columns, "loaded_at", wide="text" in columns)
+    s = table(spark, d, "sections").select("row_id", "loaded_at", *columns)
+    return once_per_key(spread(s), "row_id", columns, "loaded_at", wide=True) if "text" in columns else once_per_key(s, "row_id", columns, "loaded_at")
 
 
 def joined(c) -> F.Column:
