@@ -17,6 +17,10 @@ from tabularium.llm.splitting import LIMIT, OVERLAP, split_oversized
 from tabularium.sources.tables import once_per_key, spread, table
 
 
+def _sections(spark: SparkSession, d: str, columns: list[str]) -> DataFrame:
+    return spread(table(spark, d, "sections").select("row_id", "loaded_at", *columns))
+
+
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Texts over the limit, with the coarsest boundary whose stretches all fit."""
     sections = table(spark, d, "sections").where(F.char_length("text") > LIMIT)
@@ -26,7 +30,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
     """Every text as pieces within the limit, each with its row_id and section."""
-    once = once_per_key(table(spark, d, "sections"), "row_id", ["section", "text"], "loaded_at", wide=True)
+    once = once_per_key(_sections(spark, d, ["section", "text"]), "row_id", ["section", "text"], "loaded_at", wide=True)
     return split_oversized(once, "text", ["row_id", "section"])
 
 
@@ -41,7 +45,7 @@ def p1_checks(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
     """Every text with typed placeholders in the place of personal information."""
-    once = once_per_key(table(spark, d, "sections"), "row_id", ["text"], "loaded_at", wide=True)
+    once = once_per_key(_sections(spark, d, ["text"]), "row_id", ["text"], "loaded_at", wide=True)
     return redact_personal(once, "row_id", "text")
 
 
@@ -54,7 +58,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_normalised(spark: SparkSession, d: str) -> DataFrame:
     """section and text of every row_id in one consistent form."""
-    once = once_per_key(table(spark, d, "sections"), "row_id", ["section", "text"], "loaded_at", wide=True)
+    once = once_per_key(_sections(spark, d, ["section", "text"]), "row_id", ["section", "text"], "loaded_at", wide=True)
     return normalise(once, "row_id", {"section": True, "text": False}).select("row_id", "section", "text")
 
 
