@@ -13,7 +13,7 @@ from tabularium.llm.mixing import mix, report, token_counts
 from tabularium.llm.neardup import classes, expand, similar
 from tabularium.llm.personal import find_personal, redact_personal
 from tabularium.llm.repetition import repetition
-from tabularium.llm.splitting import LIMIT, OVERLAP, split_oversized
+from tabularium.llm.splitting import LIMIT, OVERLAP, split_long, split_oversized
 from tabularium.sources.tables import once_per_key, spread, table
 
 
@@ -23,9 +23,8 @@ def _sections(spark: SparkSession, d: str, columns: list[str]) -> DataFrame:
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Texts over the limit, with the coarsest boundary whose stretches all fit."""
-    sections = table(spark, d, "sections").where(F.char_length("text") > LIMIT)
-    once = once_per_key(sections, "row_id", ["section", "text"], "loaded_at")
-    return split_oversized(once, "text", ["row_id", "section"]).where("piece = 0").select("row_id", "boundary")
+    # a row delivered again has the same text, so repeats are dropped from the small result
+    return split_long(_sections(spark, d, ["text"]), "text", ["row_id"]).where("piece = 0").select("row_id", "boundary").distinct()
 
 
 def p1_pieces(spark: SparkSession, d: str) -> DataFrame:

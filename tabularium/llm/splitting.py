@@ -131,7 +131,6 @@ def split_oversized(df: DataFrame, text: str, keep: list[str], limit: int = LIMI
     kept = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
     names = [f"_k{i}" for i in range(len(keep))]
     src = df.select(*kept, F.col(text).alias("_text")).where(F.col("_text").isNotNull())
-    types = [src.schema[n].dataType.simpleString() for n in names]
     short = src.where(F.char_length("_text") <= limit).select(
         *names,
         F.lit(0).alias("piece"),
@@ -142,6 +141,19 @@ def split_oversized(df: DataFrame, text: str, keep: list[str], limit: int = LIMI
         F.col("_text").alias("piece_text"),
     )
 
+    return short.unionByName(_cut(src, names, limit, overlap)).withColumnsRenamed(dict(zip(names, keep)))
+
+
+def split_long(df: DataFrame, text: str, keep: list[str], limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
+    """split_oversized() for the texts over the limit only; the others have no pieces."""
+    names = [f"_k{i}" for i in range(len(keep))]
+    src = df.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col(text).alias("_text"))
+    return _cut(src, names, limit, overlap).withColumnsRenamed(dict(zip(names, keep)))
+
+
+def _cut(src: DataFrame, names: list[str], limit: int, overlap: int) -> DataFrame:
+    types = [src.schema[n].dataType.simpleString() for n in names]
+
     def cut(batches):
         for batch in batches:
             take: list[int] = []
@@ -160,8 +172,4 @@ def split_oversized(df: DataFrame, text: str, keep: list[str], limit: int = LIMI
             )
 
     schema = ", ".join([*(f"`{n}` {t}" for n, t in zip(names, types)), "piece int, start int, end int, cut string, boundary string, piece_text string"])
-    long = src.where(F.char_length("_text") > limit).mapInArrow(cut, schema)
-    out = short.unionByName(long)
-    for n, c in zip(names, keep):
-        out = out.withColumnRenamed(n, c)
-    return out
+    return src.where(F.char_length("_text") > limit).mapInArrow(cut, schema)
