@@ -115,10 +115,12 @@ def _bounds(keys: DataFrame, ranges: int) -> DataFrame:
     return placed.where((F.col("_n") > 0) & (part(F.col("_n")) > part(F.col("_n") - 1))).select("_key")
 
 
-class _Pair(InputPartition):
-    def __init__(self, old: str | None, new: str | None, later: str):
-        super().__init__(later)
-        self.old, self.new, self.later = old, new, later
+class _Range(InputPartition):
+    """One range: (older folder, newer folder, later date) of every two consecutive snapshots; a folder is None where a snapshot has no key in the range."""
+
+    def __init__(self, pairs: list[tuple[str | None, str | None, str]]):
+        super().__init__(len(pairs))
+        self.pairs = pairs
 
 
 def _opened(path: str):
@@ -138,10 +140,10 @@ def _rows(folder: str | None):
             for b in pyarrow.parquet.ParquetFile(f).iter_batches():
                 keys = b.column(b.schema.get_field_index("_key")).to_pylist()
                 values = [b.column(i).to_pylist() for i, c in enumerate(b.schema.names) if c.startswith("_v")]
-                order = [k.encode() for k in keys]
-                if (last is not None and order and order[0] <= last) or any(x >= y for x, y in zip(order, order[1:])):
+                # Python's order of texts, by code points, is that of their UTF-8 bytes, by which Spark sorts
+                if (last is not None and keys and keys[0] <= last) or any(x >= y for x, y in zip(keys, keys[1:])):
                     raise ValueError(f"a kept range is out of order: {name}")
-                last = order[-1] if order else last
+                last = keys[-1] if keys else last
                 yield from zip(keys, zip(*values) if values else [()] * len(keys))
 
 
@@ -152,7 +154,7 @@ class _Merge(DataSourceReader):
     def partitions(self):
         fs, path = _opened(f"{self.root}/rows")
         if fs.get_file_info(path).type == pyarrow.fs.FileType.NotFound:
-            return [_Pair(None, None, "")]
+            return [_Range([])]
         found: dict[str, dict[str, str]] = {}
         whole = f"{self.root}/rows"
         scheme = whole[: -len(path)] if whole.endswith(path) and whole != path else ""
@@ -161,27 +163,28 @@ class _Merge(DataSourceReader):
                 ranges = fs.get_file_info(pyarrow.fs.FileSelector(s.path))
                 found[unquote(os.path.basename(s.path)[6:])] = {os.path.basename(r.path): scheme + r.path for r in ranges if os.path.basename(r.path).startswith("_range=")}
         days = sorted(found)
-        pairs = [_Pair(found[a].get(r), found[b].get(r), b) for a, b in zip(days, days[1:]) for r in sorted({*found[a], *found[b]})]
-        return pairs or [_Pair(None, None, "")]
+        ranges = sorted({r for f in found.values() for r in f})
+        return [_Range([(found[a].get(r), found[b].get(r), b) for a, b in zip(days, days[1:])]) for r in ranges] or [_Range([])]
 
     def read(self, partition):
-        old, new = _rows(partition.old), _rows(partition.new)
-        a, b = next(old, None), next(new, None)
-        while a is not None or b is not None:
-            if b is None or (a is not None and a[0].encode() < b[0].encode()):
-                yield a[0], partition.later, "removed"
-                a = next(old, None)
-            elif a is None or b[0].encode() < a[0].encode():
-                yield b[0], partition.later, "added"
-                b = next(new, None)
-            else:
-                if a[1] != b[1]:
-                    yield a[0], partition.later, "changed"
-                a, b = next(old, None), next(new, None)
+        for before, after, later in partition.pairs:
+            old, new = _rows(before), _rows(after)
+            a, b = next(old, None), next(new, None)
+            while a is not None or b is not None:
+                if b is None or (a is not None and a[0] < b[0]):
+                    yield a[0], later, "removed"
+                    a = next(old, None)
+                elif a is None or b[0] < a[0]:
+                    yield b[0], later, "added"
+                    b = next(new, None)
+                else:
+                    if a[1] != b[1]:
+                        yield a[0], later, "changed"
+                    a, b = next(old, None), next(new, None)
 
 
 class SnapshotMerge(DataSource):
-    """Through kept_changes(): a partition per range and pair of consecutive snapshots, compared by a two-pointer merge."""
+    """Through kept_changes(): a partition per range, in which every two consecutive snapshots are compared by a two-pointer merge."""
 
     @classmethod
     def name(cls):
