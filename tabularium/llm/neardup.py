@@ -60,17 +60,25 @@ _EDGES = np.array([1] + [int(np.ceil(FIRST_BAND * BAND_RATIO**j)) for j in range
 
 
 def _sets(texts: pa.Array, shingle: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles (44-bit hashes) sorted by (text, shingle), and their text; texts of fewer words have none."""
-    w = words(texts)
-    g, at = w.grams(shingle)
-    doc = w.doc[at]
-    long = np.diff(w.first)[doc] >= least_words
-    key = (doc[long].astype(np.uint64) << np.uint64(_TOKEN_BITS)) | (g[long] >> np.uint64(64 - _TOKEN_BITS))
-    key.sort()
-    fresh = np.ones(len(key), bool)
-    fresh[1:] = key[1:] != key[:-1]
-    key = key[fresh]
-    return key & np.uint64((1 << _TOKEN_BITS) - 1), (key >> np.uint64(_TOKEN_BITS)).astype(np.int64)
+    """Distinct shingles (44-bit hashes) sorted by (text, shingle), and their text; texts of fewer words have none.
+
+    Words are hashed in chunks of bounded bytes, as that takes many times the texts' memory.
+    """
+    tokens, docs, before = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+    for part in chunks(pa.record_batch([texts], ["text"]), "text"):
+        w = words(part.column(0))
+        g, at = w.grams(shingle)
+        doc = w.doc[at]
+        long = np.diff(w.first)[doc] >= least_words
+        key = (doc[long].astype(np.uint64) << np.uint64(_TOKEN_BITS)) | (g[long] >> np.uint64(64 - _TOKEN_BITS))
+        key.sort()
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = key[1:] != key[:-1]
+        key = key[fresh]
+        tokens.append(key & np.uint64((1 << _TOKEN_BITS) - 1))
+        docs.append((key >> np.uint64(_TOKEN_BITS)).astype(np.int64) + before)
+        before += part.num_rows
+    return np.concatenate(tokens), np.concatenate(docs)
 
 
 def _starts(x: np.ndarray) -> np.ndarray:
@@ -404,6 +412,23 @@ def similar(
     return members.withColumnRenamed("key", key), links
 
 
+def verified(batch: pa.RecordBatch, shingle: int, least_words: int, num: int, den: int):
+    """(a, b, common, total) of the pairs whose texts ta and tb reach the threshold, in chunks of bounded bytes of either text."""
+    for part in (p for some in chunks(batch, "ta") for p in chunks(some, "tb")):
+        n = part.num_rows
+        token, doc = _sets(pa.concat_arrays([part.column("ta"), part.column("tb")]), shingle, least_words)
+        size = np.bincount(doc, minlength=2 * n)
+        pair = doc % n
+        key = (pair.astype(np.uint64) << np.uint64(_TOKEN_BITS)) | token
+        key.sort()
+        common = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(_TOKEN_BITS)).astype(np.int64), minlength=n)
+        total = size[:n] + size[n:] - common
+        good = (common * den >= total * num) & (total > 0)
+        yield pa.RecordBatch.from_arrays(
+            [part.column("a"), part.column("b"), pa.array(common, pa.int64()), pa.array(total, pa.int64())], names=["a", "b", "common", "total"]
+        ).filter(pa.array(good))
+
+
 def _verified(src: DataFrame, members: DataFrame, pairs: DataFrame, shingle: int, least_words: int, num: int, den: int) -> DataFrame:
     """The pairs whose sets, taken from one text of each class, reach the threshold."""
     spark = src.sparkSession
@@ -423,21 +448,7 @@ def _verified(src: DataFrame, members: DataFrame, pairs: DataFrame, shingle: int
 
     def verify(batches):
         for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            both = pa.concat_arrays([batch.column(2), batch.column(3)])
-            token, doc = _sets(both, shingle, least_words)
-            size = np.bincount(doc, minlength=2 * n)
-            pair = doc % n
-            key = (pair.astype(np.uint64) << np.uint64(_TOKEN_BITS)) | token
-            key.sort()
-            common = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(_TOKEN_BITS)).astype(np.int64), minlength=n)
-            total = size[:n] + size[n:] - common
-            good = (common * den >= total * num) & (total > 0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(total, pa.int64())], names=["a", "b", "common", "total"]
-            ).filter(pa.array(good))
+            yield from verified(batch, shingle, least_words, num, den)
 
     links = materialise(sides.select("a", "b", "ta", "tb").mapInArrow(verify, "a bigint, b bigint, common bigint, total bigint"))
     discard(pairs)

@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabularium.llm import neardup as nd
@@ -86,6 +88,31 @@ def test_words_survive_packing():
     assert {(p, int(x >> 36), int(x >> 1) % (1 << 35), bool(x & 1)) for p, v in got.items() for x in v.tolist()} == want
 
 
+def test_many_texts_take_little_memory():
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(r.choices(words, k=300)) for _ in range(4000)]
+    edited = [t if i % 4 else t[len(t) // 2 :] for i, t in enumerate(texts)]
+
+    def peak(f):
+        tracemalloc.start()
+        try:
+            return f(), tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+
+    (token, doc), mb = peak(lambda: nd._sets(pa.array(texts), 3, 40))
+    assert mb < 100  # 7 MB of texts, 19 MB of shingles
+    want = [nd._sets(pa.array([t]), 3, 40)[0] for t in texts]
+    assert (token == np.concatenate(want)).all() and (doc == np.repeat(np.arange(4000), list(map(len, want)))).all()
+    ids = pa.array(range(4000))
+    batch = pa.record_batch([ids, ids, pa.array(texts), pa.array(edited)], ["a", "b", "ta", "tb"])
+    got, mb = peak(lambda: pa.Table.from_batches(nd.verified(batch, 3, 40, 3, 5)))
+    assert mb < 100
+    assert got.column("a").to_pylist() == [i for i in range(4000) if i % 4]
+    assert got.column("common").to_pylist() == got.column("total").to_pylist() == [len(want[i]) for i in range(4000) if i % 4]
+
+
 def test_blocks_of_copies(spark, monkeypatch):
     monkeypatch.setattr(nd, "BLOCK", 8)
     members = spark.createDataFrame([(f"k{i:02d}", i % 2 * 7) for i in range(60)], "row_id string, set_id bigint")
